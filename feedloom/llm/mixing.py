@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions import text as T
-from feedloom.llm.spread import running
+from feedloom.operators.ranks import running
 from feedloom.llm.tokens import VOCABULARY, sized
 from feedloom.session import materialize
 

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.spread import running
+from feedloom.operators.ranks import running
 from feedloom.llm.tokens import VOCABULARY, sized
 from feedloom.session import materialize
 
