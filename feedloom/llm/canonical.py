@@ -56,14 +56,13 @@ def match_names(values: DataFrame, names: DataFrame, threshold: float = 0.3, mar
     """
     distinct = names.select("name").distinct()
     grams = distinct.select("name", F.explode(T.ngrams(F.col("name"), n)).alias("gram")).groupBy("name", "gram").agg(F.count("*").alias("tf"))
-    total = distinct.agg(F.count("*").alias("total"))
-    idf = grams.groupBy("gram").agg(F.count("*").alias("df")).join(total, F.lit(True)).select("gram", (1 + F.log(F.col("total") / F.col("df"))).alias("idf"), (1 + F.log(F.col("total"))).alias("unseen"))
+    total = F.lit(float(max(1, distinct.count())))  # of the reference list
+    idf = grams.groupBy("gram").agg((1 + F.log(total / F.count("*"))).alias("idf"))
     index = grams.join(idf, "gram").select("name", "gram", (F.col("tf") * F.col("idf")).alias("w"))
     norms = index.groupBy("name").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("name_norm"))
     index = index.join(norms, "name")
     asked = values.select("seg", F.explode(T.ngrams(F.col("seg"), n)).alias("gram")).groupBy("seg", "gram").agg(F.count("*").alias("tf"))
-    asked = asked.join(idf.select("gram", "idf"), "gram", "left").join(total, F.lit(True))
-    asked = asked.select("seg", "gram", (F.col("tf") * F.coalesce("idf", 1 + F.log(F.col("total")))).alias("v"))
+    asked = asked.join(idf, "gram", "left").select("seg", "gram", (F.col("tf") * F.coalesce("idf", 1 + F.log(total))).alias("v"))
     seg_norm = asked.groupBy("seg").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("seg_norm"))
     dots = asked.join(index, "gram").groupBy("seg", "name").agg(F.sum(F.col("v") * F.col("w")).alias("dot"), F.first("name_norm").alias("name_norm"))
     scored = dots.join(seg_norm, "seg").select("seg", "name", (F.col("dot") / (F.col("name_norm") * F.col("seg_norm"))).alias("score")).where(F.col("score") >= threshold)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from feedloom.functions import text as T
 from feedloom.operators.ranks import running
@@ -52,8 +53,8 @@ def mix(docs: DataFrame, targets: DataFrame, path: str = VOCABULARY, seed: int =
         at += share / weight
         ends.append(at)
     point = F.pmod((F.col("id") + 1) * F.lit(GOLDEN), F.lit(1.0))
-    which = F.least(F.size(F.filter(F.array(*[F.lit(e) for e in ends]), lambda e: e <= point)), F.lit(len(entries) - 1))
-    schedule = spark.range(slots).select(F.col("id").alias("slot"), F.array(*[F.lit(e[0]) for e in entries])[which].alias("key"))
+    which = F.least(F.size(F.filter(F.lit(ends or [1.0]), lambda e: e <= point)), F.lit(max(0, len(entries) - 1)))
+    schedule = spark.range(slots).select(F.col("id").alias("slot"), F.get(F.lit([e[0] for e in entries] or [""]), which).alias("key"))
     ranked = running(schedule, ["key"], F.floor(F.col("slot") / SHARD), ["slot"], F.lit(1), "block")
 
     # passes that the schedule can reach: no text is repeated more often than the target asks, nor than allowed
@@ -72,8 +73,8 @@ def mix(docs: DataFrame, targets: DataFrame, path: str = VOCABULARY, seed: int =
 
     facts = spark.createDataFrame([(source, share, repeats, (sums.get(key) or (0, 0))[0] or 0) for key, source, share, repeats in entries], "source string, target_share double, max_repeats int, tokens long")
     got = mixed.groupBy("source").agg(F.sum("n_tokens").alias("tokens_mixed"))
-    all_mixed = mixed.agg(F.sum("n_tokens").alias("all_mixed"))
-    report = facts.join(got, "source", "left").join(all_mixed, F.lit(True)).withColumn("tokens_mixed", F.coalesce("tokens_mixed", F.lit(0)))
+    every = W.partitionBy()  # one row a target
+    report = facts.join(got, "source", "left").withColumn("tokens_mixed", F.coalesce("tokens_mixed", F.lit(0))).withColumn("all_mixed", F.sum("tokens_mixed").over(every))
     goal = F.lit(float(total))
     reached = F.col("tokens_mixed") + 2 * size >= F.col("target_share") / weight * goal
     report = report.select(

@@ -26,9 +26,9 @@ def completeness(rows: DataFrame, column: str, ref: DataFrame) -> DataFrame:
 
 
 def members_of(groups: DataFrame, rows: DataFrame) -> DataFrame:
-    """group_id and the columns of rows, one row for each distinct member of a group that rows holds."""
+    """group_id and the row_id, source, location, dates of rows, one row for each distinct member of a group that rows holds."""
     listed = groups.select("group_id", F.explode("members").alias("identity")).distinct()
-    return listed.join(rows.drop("group_id"), "identity")
+    return listed.join(rows.select("identity", "row_id", "source", "location", "published_at", "first_seen"), "identity")
 
 
 def survivors(groups: DataFrame, rows: DataFrame, trust: DataFrame, ref: DataFrame) -> DataFrame:
