@@ -126,7 +126,10 @@ def differences(cells: DataFrame, order: DataFrame, kept: float = KEPT) -> DataF
     of_old = was.join(in_new, [*at, "posting"], "left_semi").groupBy(*at, "old_path").agg(F.count_distinct("posting").alias("of_old"))
     of_new = now.join(in_old, [*at, "posting"], "left_semi").groupBy(*at, "new_path").agg(F.count_distinct("posting").alias("of_new"))
     rated = same.join(of_old, [*at, "old_path"]).join(of_new, [*at, "new_path"]).withColumn("share", F.col("same") / F.greatest("of_old", "of_new")).where(F.col("share") >= kept)
-    by = lambda side, other: W.partitionBy(*at, side).orderBy(F.desc("share"), F.desc("same"), other)
+    # ties: the same parent, then the more alike name
+    parent = lambda c: F.regexp_replace(c, r"\.?[^.]*$", "")
+    rated = rated.withColumn("sibling", parent("old_path") == parent("new_path")).withColumn("apart", F.levenshtein(F.lower("old_path"), F.lower("new_path")))
+    by = lambda side, other: W.partitionBy(*at, side).orderBy(F.desc("share"), F.desc("same"), F.desc("sibling"), "apart", other)
     mutual = rated.withColumn("r1", F.row_number().over(by("old_path", "new_path"))).withColumn("r2", F.row_number().over(by("new_path", "old_path"))).where("r1 = 1 and r2 = 1")
     renames = mutual.select(*at, F.col("old_path").alias("path"), "new_path")
     taken = renames.select(*at, F.col("new_path").alias("path"), F.lit("added").alias("change"))
