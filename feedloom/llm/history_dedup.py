@@ -77,14 +77,16 @@ def openings(rows: DataFrame, ref: DataFrame, boards: DataFrame) -> DataFrame:
     """
     base = rows.select("row_id", "ord", employer_name(F.col("employer")).alias("name"), "board_id", F.coalesce(T.squeeze("title"), F.lit("")).alias("title"), F.coalesce("location", F.lit("")).alias("value"))
     nameless = base.where("name = ''").join(boards, "board_id", "left").withColumn("name", F.coalesce("board_name", F.concat(F.lit("board:"), F.coalesce("board_id", F.lit("")))))
-    base = materialize(base.where("name <> ''").drop("board_id").unionByName(nameless.drop("board_id", "board_name")), "openings")
-    places = map_places(base, "value", ref)
+    base = base.where("name <> ''").drop("board_id").unionByName(nameless.drop("board_id", "board_name"))
+    # distinct places and titles are read from the rows anew: two pruned scans cost less than a copy of the rows
+    located = rows.select(F.coalesce("location", F.lit("")).alias("value"))
+    places = map_places(located, "value", ref)
     own = F.array(*[F.coalesce(T.plain(F.col(c)), F.lit("")) for c in ("city", "alt_name", "region", "country")])
     ref_words = ref.select("place_id", F.array_distinct(F.flatten(F.transform(own, lambda x: F.split(x, r"[^\p{L}\p{N}]+")))).alias("own"))
-    values = base.select("value").distinct().join(places, "value", "left").join(ref_words, "place_id", "left")
+    values = located.distinct().join(places, "value", "left").join(ref_words, "place_id", "left")
     place = F.when(F.coalesce("place_id", F.lit(0)) > 0, F.col("place_id").cast("string")).otherwise(F.concat(F.lit("="), F.array_join(F.array_sort(segments(F.col("value"))), ",")))
     values = values.select("value", place.alias("place"), F.coalesce("own", F.array().cast("array<string>")).alias("own"))
-    texts = base.groupBy("title").agg(F.count("*").alias("n")).select("title", "n", F.explode(title_words(F.col("title"))).alias("word")).where("word <> ''")
+    texts = rows.select(F.coalesce(T.squeeze("title"), F.lit("")).alias("title")).groupBy("title").agg(F.count("*").alias("n")).select("title", "n", F.explode(title_words(F.col("title"))).alias("word")).where("word <> ''")
     fixes = spelling(texts.groupBy("word").agg(F.sum("n").alias("n")))
     titles = texts.join(fixes, "word", "left").select("title", F.coalesce("correct", "word").alias("word")).groupBy("title").agg(F.array_sort(F.collect_list("word")).alias("words"))
     out = base.join(titles, "title", "left").join(values, "value", "left")
