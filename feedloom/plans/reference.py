@@ -13,8 +13,8 @@ from pyspark.sql import Window as W
 
 from feedloom.functions import descriptions as D
 from feedloom.functions import text as T
-from feedloom.operators import chain, drift, grouping, runs, shapes, shred, stores
-from feedloom.sources import platforms
+from feedloom.operators import chain, drift, grouping, jsonwalk, publish, runs, shapes, shred, stores
+from feedloom.sources import config, platforms
 from feedloom.streaming import ingest
 
 NOW = "2026-06-15T00:00:00Z"
@@ -73,9 +73,9 @@ def fold_titles(t):
 
 
 @query("""SELECT row_id, CASE WHEN trim(location) <> '' AND suffix(title, ' - ' || trim(location)) THEN trim(title[:length(title) - length(trim(location)) - 3]) ELSE title END AS title_bare
-FROM (SELECT row_id, title || CASE WHEN row_id % 2 = 0 AND location IS NOT NULL THEN ' - ' || trim(location) ELSE '' END AS title, location FROM job_rows)""")
+FROM (SELECT row_id, title || CASE WHEN workplace IS NULL AND location IS NOT NULL THEN ' - ' || trim(location) ELSE '' END AS title, location FROM job_rows)""")
 def strip_location_suffix(t):
-    tailed = F.concat("title", F.when((F.col("row_id") % 2 == 0) & F.col("location").isNotNull(), F.concat(F.lit(" - "), F.trim("location"))).otherwise(""))
+    tailed = F.concat("title", F.when(F.col("workplace").isNull() & F.col("location").isNotNull(), F.concat(F.lit(" - "), F.trim("location"))).otherwise(""))
     return t("job_rows").withColumn("title", tailed).select("row_id", T.strip_location_suffix(F.col("title"), F.col("location")).alias("title_bare"))
 
 
@@ -320,16 +320,16 @@ def group_closed_day(t):
     return grouping.closed_on(members, "group_id", F.substring(F.nullif("expires_at", F.lit("")), 1, 10))
 
 
-@query("""WITH a AS (SELECT row_id, 'employer' AS attribute, employer AS value FROM job_rows UNION ALL SELECT row_id, 'title', title FROM job_rows UNION ALL SELECT row_id, 'location', location FROM job_rows),
-acc AS (SELECT * FROM a WHERE value <> '' AND row_id % 7 = 0), mine AS (SELECT * FROM a WHERE value <> ''),
+@query("""WITH a AS (SELECT row_id, workplace = 'hybrid' AS ok, 'employer' AS attribute, employer AS value FROM job_rows UNION ALL SELECT row_id, workplace = 'hybrid', 'title', title FROM job_rows UNION ALL SELECT row_id, workplace = 'hybrid', 'location', location FROM job_rows),
+acc AS (SELECT * FROM a WHERE value <> '' AND ok), mine AS (SELECT * FROM a WHERE value <> ''),
 byv AS (SELECT attribute, value, min(row_id) AS low, count(*) AS n FROM acc GROUP BY ALL), nxt AS (SELECT acc.attribute, acc.value, min(acc.row_id) AS next FROM acc JOIN byv USING (attribute, value) WHERE acc.row_id > low GROUP BY ALL)
-SELECT m.row_id AS id, m.attribute, CASE WHEN b.low = m.row_id THEN x.next ELSE b.low END AS first_id, b.n - CASE WHEN m.row_id % 7 = 0 THEN 1 ELSE 0 END AS n_accepted
-FROM mine m JOIN byv b USING (attribute, value) LEFT JOIN nxt x USING (attribute, value) WHERE b.n - CASE WHEN m.row_id % 7 = 0 THEN 1 ELSE 0 END > 0""")
+SELECT m.row_id AS id, m.attribute, CASE WHEN b.low = m.row_id THEN x.next ELSE b.low END AS first_id, b.n - CASE WHEN m.ok THEN 1 ELSE 0 END AS n_accepted
+FROM mine m JOIN byv b USING (attribute, value) LEFT JOIN nxt x USING (attribute, value) WHERE b.n - CASE WHEN m.ok THEN 1 ELSE 0 END > 0""")
 def shared_attributes(t):
-    """All rows against the accepted set; the set is the feature's input, every seventh row standing for 'accepted'."""
+    """All rows against those accepted, which a person's mark stands for in use and hybrid work here."""
     rows = t("job_rows")
     attributes = {c: F.col(c) for c in ("employer", "title", "location")}
-    return grouping.shared_attributes(rows, rows.where("row_id % 7 = 0"), attributes, "row_id")
+    return grouping.shared_attributes(rows, rows.where("workplace = 'hybrid'"), attributes, "row_id")
 
 
 # ---- runs
@@ -460,9 +460,28 @@ def rebaseline_first_match(t):
 @query()
 def description_leaks(t):
     """Page members that hold long or marked-up text: what a public copy must not carry."""
-    nodes = shred.adjacency(t("raw_pages"))
-    leak = (F.length("scalar") > 1000) | F.rlike("scalar", F.lit(r"<(p|li|div|br|ul)\b")) | (F.col("label").isin("content", "description") & (F.length("scalar") > 0))
-    return nodes.where((F.col("kind") == "string") & leak).groupBy("page_id").agg(F.count("*").alias("leaks"), F.array_join(F.array_sort(F.collect_set("label")), ",").alias("labels"))
+    return jsonwalk.text_leaks(shred.adjacency(t("raw_pages")), "page_id", ("content", "description"))
+
+
+@query("""SELECT record_id, CASE WHEN json_type(payload, '$.salaryRange.min') IN ('DOUBLE', 'UBIGINT', 'BIGINT') THEN CAST(CAST(json_extract_string(payload, '$.salaryRange.min') AS BIGINT) AS VARCHAR) ELSE json_extract_string(payload, '$.salaryRange.min') END AS salary_min, json_extract_string(payload, '$.title') AS title FROM feed_records""")
+def json_resolve(t):
+    return t("feed_records").select("record_id", jsonwalk.resolved(F.col("payload"), "salaryRange.min").alias("salary_min"), jsonwalk.resolved(F.col("payload"), "title").alias("title"))
+
+
+@query()
+def json_sanitised(t):
+    return t("raw_pages").select("page_id", jsonwalk.sanitise(F.col("payload"), ("content", "text")).alias("payload"))
+
+
+@query("SELECT row_id, CASE WHEN source IN ('greenhouse','lever','ashby','workable','smartrecruiters','manatal') THEN 'public' ELSE 'private' END AS source_class, replace(url, 'example', '***') AS url FROM job_rows")
+def routed_rows(t):
+    rows = publish.routed(t("job_rows"), "source", PUBLIC)
+    return rows.select("row_id", "source_class", publish.redact(F.col("url"), ["example"]).alias("url"))
+
+
+@query("SELECT board_id, CASE WHEN coalesce(len(poll_slots), 0) = 0 THEN true ELSE list_contains(poll_slots, '08:00') END AS due, coalesce(list_contains(deep_slots, '08:00'), false) AS deep FROM boards WHERE snapshot_no = 6 AND (coalesce(len(poll_slots), 0) = 0 OR list_contains(poll_slots, '08:00'))")
+def boards_due(t):
+    return config.boards_due(t("boards").where("snapshot_no = 6"), "08:00").select("board_id", F.lit(True).alias("due"), "deep")
 
 
 # ---- sources
