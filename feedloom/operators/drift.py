@@ -41,8 +41,8 @@ def _text(value: object) -> str | None:
 
 
 def paths_of(record: object) -> list[tuple[str, str, str | None]]:
-    """(dotted path, type, text) of every member, through objects, not into arrays."""
-    out, stack = [], [("", record)]
+    """(dotted path, type, text) of every member, through objects, not into arrays; the record itself first, under ''."""
+    out, stack = [("", "object", None)], [("", record)]
     while stack:
         prefix, value = stack.pop()
         for key, x in value.items() if isinstance(value, dict) else ():
@@ -53,7 +53,7 @@ def paths_of(record: object) -> list[tuple[str, str, str | None]]:
 
 
 def fields(records: DataFrame, keys: Sequence[str] = ("guid", "id")) -> DataFrame:
-    """(record_id, feed_id, file_no, posting, path, type, value), one row a member of each record's object.
+    """(record_id, feed_id, file_no, posting, path, type, value), one row a member of each record's object and one, '', for itself.
 
     posting is the record's first key that has a value. A payload that is null, no valid JSON or no object has no members.
     """
@@ -78,7 +78,7 @@ def fields(records: DataFrame, keys: Sequence[str] = ("guid", "id")) -> DataFram
 def fingerprints(cells: DataFrame) -> DataFrame:
     """(feed_id, file_no, path, types): the set of JSON types among the non-null values; an empty array has none."""
     typed = F.when(~F.col("type").isin("null", "array<>"), F.col("type"))
-    return cells.groupBy("feed_id", "file_no", "path").agg(F.array_sort(F.collect_set(typed)).alias("types"))
+    return cells.where("path <> ''").groupBy("feed_id", "file_no", "path").agg(F.array_sort(F.collect_set(typed)).alias("types"))
 
 
 def file_order(records: DataFrame) -> DataFrame:
@@ -121,8 +121,9 @@ def differences(cells: DataFrame, order: DataFrame, kept: float = KEPT) -> DataF
     at = ["feed_id", "file_no"]
     same = was.join(now, [*at, "posting", "value"]).groupBy(*at, "old_path", "new_path").agg(F.count_distinct("posting").alias("same"))
     # postings that could agree: those with a value of the one path, and in the other file at all
-    in_old = cells.withColumnRenamed("file_no", "before").join(pairs, ["feed_id", "before"]).select(*at, "posting").distinct()
-    in_new = cells.join(pairs, at).select(*at, "posting").distinct()
+    whole = cells.where("path = ''").select(*at, "posting").distinct()
+    in_old = whole.withColumnRenamed("file_no", "before").join(pairs, ["feed_id", "before"]).select(*at, "posting")
+    in_new = whole.join(pairs, at).select(*at, "posting")
     of_old = was.join(in_new, [*at, "posting"], "left_semi").groupBy(*at, "old_path").agg(F.count_distinct("posting").alias("of_old"))
     of_new = now.join(in_old, [*at, "posting"], "left_semi").groupBy(*at, "new_path").agg(F.count_distinct("posting").alias("of_new"))
     rated = same.join(of_old, [*at, "old_path"]).join(of_new, [*at, "new_path"]).withColumn("share", F.col("same") / F.greatest("of_old", "of_new")).where(F.col("share") >= kept)

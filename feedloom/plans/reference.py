@@ -426,7 +426,7 @@ def _shapes(t, low: bool) -> DataFrame:
     pick = F.min if low else F.max
     file = records.groupBy("feed_id").agg(pick("file_no").alias("file_no"))
     some = records.join(file, ["feed_id", "file_no"])
-    return shapes.shape(drift.fields(some), some, "feed_id")
+    return shapes.shape(drift.fields(some).where("path <> ''"), some, "feed_id")
 
 
 SQL_TOP = """SELECT r.feed_id, r.file_no, r.record_id, k.key AS path, json_type(r.payload::JSON, '$."' || k.key || '"') AS jt FROM (SELECT *, unnest(json_keys(payload)) AS key FROM feed_records) r JOIN (SELECT DISTINCT unnest(json_keys(payload)) AS key FROM feed_records) k ON r.key = k.key"""
