@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from feedloom.functions import text as T
+from feedloom.session import materialize
 
-#: Mean rows of a chunk, and rows of a bucket at which one sort task stays small.
-CHUNK, BUCKET = 64, 50_000
+#: Mean rows of a chunk; buckets of keys for each shuffle partition of the session, which a deployment sizes to its data.
+CHUNK, SPREAD = 64, 4
 
 
 def canonical(df: DataFrame, column: str) -> Column:
@@ -44,9 +45,9 @@ def digests(df: DataFrame, key: str, snapshot: str, ignore: Sequence[str]) -> Da
     return one.select("snapshot_no", "record_key", F.xxhash64("d").alias("digest"))
 
 
-def chunked(rows: DataFrame, chunk: int = CHUNK, bucket: int = BUCKET, total: int | None = None) -> DataFrame:
+def chunked(rows: DataFrame, chunk: int = CHUNK, buckets: int | None = None) -> DataFrame:
     """rows with bucket and chunk: the first key of the row's chunk ('' before a bucket's first boundary)."""
-    buckets = max(1, (rows.count() if total is None else total) // bucket)
+    buckets = buckets or SPREAD * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     mark = F.xxhash64(F.lit("chunk"), "record_key")
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("record_key"), F.lit(buckets)))
     order = W.partitionBy("snapshot_no", "bucket").orderBy("record_key").rowsBetween(W.unboundedPreceding, 0)
@@ -59,8 +60,6 @@ def changes(df: DataFrame, key: str, snapshot: str = "snapshot_no", ignore: Sequ
     Snapshots are consecutive among those delivered, whatever their numbers; the first has no changes. Blanks at the ends
     or repeated and null against '' are no change, arrays are sets. Empty input, or one snapshot, gives no rows.
     """
-    from feedloom.session import materialize
-
     rows = materialize(chunked(digests(df, key, snapshot, ignore), chunk), "snapshots")
     order = W.orderBy("snapshot_no")  # one row a snapshot: a handful
     numbers = rows.select("snapshot_no").distinct().withColumn("before", F.lag("snapshot_no").over(order)).where("before is not null")
