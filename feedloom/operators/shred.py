@@ -10,13 +10,15 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.session import materialize
 
 NODES = "node int, parent int, label string, ordinal int, kind string, scalar string"
+ARROW = (pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.string(), pa.string())
 
 
 def _reject(text: str) -> None:
@@ -28,12 +30,7 @@ def _parse(text: str | None):
     return json.loads(text, parse_constant=_reject)
 
 
-def _kind(value: object) -> str:
-    if value is None:
-        return "null"
-    if isinstance(value, bool):
-        return "boolean"
-    return {dict: "object", list: "array", str: "string"}.get(type(value), "number")
+_KINDS = {type(None): "null", bool: "boolean", dict: "object", list: "array", str: "string", int: "number", float: "number"}
 
 
 def shred_text(text: str | None, unwrap: bool = True) -> list[tuple] | None:
@@ -54,7 +51,7 @@ def shred_text(text: str | None, unwrap: bool = True) -> list[tuple] | None:
                 value = _parse(value)
             except (ValueError, RecursionError):
                 pass
-        node, kind = len(rows), _kind(value)
+        node, kind = len(rows), _KINDS[type(value)]
         scalar = None
         if kind in ("string", "number", "boolean"):
             scalar = value if kind == "string" else json.dumps(value)
@@ -75,18 +72,25 @@ def adjacency(pages: DataFrame, key: str = "page_id", payload: str = "payload",
     kinds = dict(rows.dtypes)
     head = [key, *keep]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in (batch.iloc[i : i + 64] for i in range(0, len(batch), 64)):
-                out: list[tuple] = []
-                for *ids, text in some[[*head, "_text"]].itertuples(index=False, name=None):
-                    nodes = shred_text(text, unwrap)
-                    out += [(*ids, *n) for n in nodes or ()]
-                frame = pd.DataFrame(out, columns=[*head, "node", "parent", "label", "ordinal", "kind", "scalar"])
-                yield frame.astype({"node": "Int32", "parent": "Int32", "ordinal": "Int32"})
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
+                nodes: list[tuple] = []
+                repeats = []
+                for text in part.column("_text").to_pylist():
+                    found = shred_text(text, unwrap) or ()
+                    nodes += found
+                    repeats.append(len(found))
+                if not nodes:
+                    continue
+                at = np.repeat(np.arange(part.num_rows), repeats)
+                ids = [part.column(c).take(pa.array(at)) for c in head]
+                columns = [pa.array(c, t) for c, t in zip(zip(*nodes), ARROW, strict=True)]
+                yield pa.RecordBatch.from_arrays([*ids, *columns], names=[*head, "node", "parent", "label", "ordinal", "kind", "scalar"])
 
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in head) + ", " + NODES
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def invalid_pages(pages: DataFrame, key: str = "page_id", payload: str = "payload") -> DataFrame:
