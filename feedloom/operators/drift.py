@@ -10,7 +10,9 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -58,21 +60,28 @@ def fields(records: DataFrame, keys: Sequence[str] = ("guid", "id")) -> DataFram
     posting is the record's first key that has a value. A payload that is null, no valid JSON or no object has no members.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for record_id, feed_id, file_no, payload in batch.itertuples(index=False, name=None):
+            cells, postings, repeats = [], [], []
+            for payload in batch.column("payload").to_pylist():
                 try:
                     record = json.loads(payload)
                 except (ValueError, TypeError, RecursionError):
-                    continue
-                if not isinstance(record, dict):
-                    continue
-                posting = next((_text(record[k]) for k in keys if record.get(k) is not None), None)
-                rows += [(record_id, feed_id, file_no, posting, *x) for x in paths_of(record)]
-            yield pd.DataFrame(rows, columns=["record_id", "feed_id", "file_no", "posting", "path", "type", "value"])
-
-    return records.select("record_id", "feed_id", F.col("file_no").cast("int"), "payload").mapInPandas(run, "record_id long, feed_id long, file_no int, posting string, path string, type string, value string")
+                    record = None
+                found = paths_of(record) if isinstance(record, dict) else []
+                cells += found
+                repeats.append(len(found))
+                if found:
+                    postings += [next((_text(record[k]) for k in keys if record.get(k) is not None), None)] * len(found)
+            if not cells:
+                continue
+            at = pa.array(np.repeat(np.arange(batch.num_rows), repeats))
+            ids = [batch.column(c).take(at) for c in ("record_id", "feed_id", "file_no")]
+            columns = [pa.array(c, pa.string()) for c in (postings, *zip(*cells))]
+            yield pa.RecordBatch.from_arrays([*ids, *columns], names=["record_id", "feed_id", "file_no", "posting", "path", "type", "value"])
+
+    rows = records.select(F.col("record_id").cast("long"), F.col("feed_id").cast("long"), F.col("file_no").cast("int"), "payload")
+    return rows.mapInArrow(run, "record_id long, feed_id long, file_no int, posting string, path string, type string, value string")
 
 
 def fingerprints(cells: DataFrame) -> DataFrame:
