@@ -50,9 +50,21 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": P2_FOUND, "p3_found": P3_FOUND}
+    return {"p2_found": P2_FOUND, "p2_postings": P2_POSTINGS, "p2_pages": P2_PAGES, "p3_found": P3_FOUND}
 
 
+_POSTS = """
+WITH valid AS (SELECT page_id, source, board_id, payload::JSON AS j FROM raw_pages WHERE json_valid(payload)),
+lists AS (SELECT page_id, source, board_id, CASE
+    WHEN json_type(j) = 'ARRAY' THEN CAST(j AS JSON[])
+    WHEN json_type(j, '$.jobs') = 'ARRAY' THEN CAST(json_extract(j, '$.jobs') AS JSON[])
+    WHEN json_type(j, '$.content') = 'ARRAY' THEN CAST(json_extract(j, '$.content') AS JSON[])
+    ELSE [j] END AS items FROM valid),
+each AS (SELECT page_id, unnest(items) AS p, CAST(unnest(range(len(items))) AS INTEGER) AS position FROM lists)
+"""
+P2_POSTINGS = _POSTS + """SELECT page_id, position, json_extract_string(p, '$.id') AS posting_id, coalesce(json_extract_string(p, '$.title'), json_extract_string(p, '$.text'), json_extract_string(p, '$.name')) AS title
+FROM each WHERE json_type(p) = 'OBJECT'"""
+P2_PAGES = _POSTS + """SELECT l.page_id, l.source, l.board_id, count(e.position) AS postings FROM lists l LEFT JOIN each e ON l.page_id = e.page_id AND json_type(e.p) = 'OBJECT' GROUP BY ALL"""
 P2_FOUND = """
 WITH valid AS (SELECT page_id, payload::JSON AS j FROM raw_pages WHERE json_valid(payload)),
 posts AS (

@@ -419,6 +419,28 @@ def agreement_states(t):
     return runs.agreement(s.where("snapshot_no = 6"), s.where("snapshot_no = 5"), waiting, F.lit("2026-01-01 12:00:00+00:00").cast("timestamp"), 12)
 
 
+@query("SELECT board_id, arg_max(snapshot_no, (snapshot_no, coalesce(len(poll_slots), -1))) AS snapshot_no, arg_max(coalesce(len(poll_slots), -1), (snapshot_no, coalesce(len(poll_slots), -1))) AS slots, count(DISTINCT snapshot_no) AS times FROM boards GROUP BY board_id")
+def latest_status(t):
+    slots = F.when(F.col("poll_slots").isNull(), -1).otherwise(F.size("poll_slots"))
+    last = F.max(F.struct(F.col("snapshot_no"), slots.alias("slots"))).alias("last")
+    return t("boards").groupBy("board_id").agg(last, F.count_distinct("snapshot_no").alias("times")).select("board_id", "last.snapshot_no", "last.slots", "times")
+
+
+@query("SELECT snapshot_no, count(*) AS n_rows, count(DISTINCT identity) AS identities FROM seen_snapshots WHERE snapshot_no IN (SELECT DISTINCT snapshot_no FROM seen_snapshots ORDER BY snapshot_no DESC LIMIT 3) GROUP BY snapshot_no")
+def newest_runs(t):
+    """The newest three runs, oldest first: a report of the last N, read once they are known."""
+    s = t("seen_snapshots")
+    newest = s.select("snapshot_no").distinct().orderBy(F.desc("snapshot_no")).limit(3)  # a last-N report
+    return s.join(newest, "snapshot_no", "left_semi").groupBy("snapshot_no").agg(F.count("*").alias("n_rows"), F.count_distinct("identity").alias("identities")).orderBy("snapshot_no")
+
+
+@query("SELECT source, coalesce(string_agg(CAST(batch_no AS VARCHAR), ',' ORDER BY batch_no) FILTER (WHERE n > 60), '') AS over_ceiling, max(n) AS most FROM (SELECT source, batch_no, count(*) AS n FROM incoming_rows GROUP BY ALL) GROUP BY source")
+def ceiling_stops(t):
+    per = t("incoming_rows").groupBy("source", "batch_no").agg(F.count("*").alias("n"))
+    over = F.array_sort(F.collect_list(F.when(F.col("n") > 60, F.col("batch_no"))))
+    return per.groupBy("source").agg(F.array_join(over, ",").alias("over_ceiling"), F.max("n").alias("most"))
+
+
 # ---- shapes of payloads
 
 def _shapes(t, low: bool) -> DataFrame:
