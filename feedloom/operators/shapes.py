@@ -2,10 +2,62 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _type(value: object) -> str:
+    if value is None:
+        return "null"
+    if isinstance(value, bool):
+        return "boolean"
+    return {dict: "object", list: "array", str: "string"}.get(type(value), "number")
+
+
+def types_of(value: object) -> dict[str, str]:
+    """The type at every dotted path of a value; a step into an array takes its first item that has the rest of the path."""
+    out: dict[str, str] = {}
+    if isinstance(value, list):
+        for x in value:
+            out = types_of(x) | out
+    elif isinstance(value, dict):
+        for key, x in value.items():
+            out.setdefault(key, _type(x))
+            for rest, kind in types_of(x).items():
+                out.setdefault(f"{key}.{rest}", kind)
+    return out
+
+
+def members(records: DataFrame, *by: str) -> DataFrame:
+    """(by.., record_id, path, type) for every path of a record, through objects and arrays, and one row, path '', for itself.
+
+    records: by.., record_id (all bigint), payload. A payload that is null, no valid JSON or no object gives no row.
+    """
+    ids = [*by, "record_id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, paths, kinds = [], [], []
+            for i, payload in enumerate(batch.column("payload").to_pylist()):
+                try:
+                    record = json.loads(payload)
+                    found = {"": "object"} | types_of(record) if isinstance(record, dict) else {}
+                except (ValueError, TypeError, RecursionError):
+                    continue
+                at += [i] * len(found)
+                paths += found.keys()
+                kinds += found.values()
+            rows = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in ids), pa.array(paths, pa.string()), pa.array(kinds, pa.string())], names=[*ids, "path", "type"])
+
+    schema = ", ".join(f"`{c}` long" for c in ids)
+    return records.select(*[F.col(c).cast("long") for c in ids], "payload").mapInArrow(run, f"{schema}, path string, type string")
+
+
 def shape(cells: DataFrame, records: DataFrame, *by: str) -> DataFrame:
     """(by.., path, present, nulls, types) of members: whether some or all records have the path, whether its values are null never, sometimes or always.
 

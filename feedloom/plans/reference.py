@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from feedloom.functions import descriptions as D
 from feedloom.functions import text as T
 from feedloom.operators import chain, drift, grouping, jsonwalk, publish, runs, shapes, shred, stores
+from feedloom.session import materialize
 from feedloom.sources import config, platforms
 from feedloom.streaming import ingest
 
@@ -469,6 +470,30 @@ def contract_compare(t):
     return shapes.compare(old, new, "feed_id")
 
 
+def _fingerprints(records: DataFrame) -> DataFrame:
+    """The shape of every path, with its types, in every file of a feed, over the file's readable records."""
+    cells = materialize(shapes.members(records, "feed_id", "file_no"), "members")
+    return shapes.shape(cells.where("path <> ''"), cells.where("path = ''"), "feed_id", "file_no")
+
+
+@query()
+def shape_fingerprint_all(t):
+    """shape_fingerprint of every file and path, nested ones too, with types; paths into arrays are beyond its SQL."""
+    return _fingerprints(t("feed_records"))
+
+
+@query()
+def contract_compare_all(t):
+    """contract_compare over every path and types: each file against the one before it, and a feed's last against its first."""
+    records = t("feed_records").select("feed_id", F.col("file_no").cast("long").alias("file_no"), "record_id", "payload")
+    prints = materialize(_fingerprints(records), "fingerprints")
+    order = drift.file_order(records).select("feed_id", F.col("before").cast("long").alias("before"), F.col("file_no").cast("long").alias("file_no")).where("before is not null")
+    ends = records.groupBy("feed_id").agg(F.min("file_no").alias("before"), F.max("file_no").alias("file_no")).where("before < file_no")
+    pairs = order.unionByName(ends).distinct()
+    old, new = (prints.withColumnRenamed("file_no", side).join(pairs, ["feed_id", side]) for side in ("before", "file_no"))
+    return shapes.compare(old, new, "feed_id", "before", "file_no")
+
+
 @query("""WITH c AS (SELECT platform, board_id AS path FROM boards WHERE snapshot_no = 6 GROUP BY ALL), a AS (SELECT platform, unnest([board_id]) AS path, snapshot_no AS position, 'slots ' || len(poll_slots) AS cause FROM boards WHERE snapshot_day < DATE '2026-02-01' AND poll_slots IS NOT NULL),
 f AS (SELECT platform, path, arg_min(cause, (position, cause)) AS cause FROM a GROUP BY ALL) SELECT c.platform, c.path, f.cause FROM c LEFT JOIN f USING (platform, path)""")
 def rebaseline_first_match(t):
