@@ -157,15 +157,25 @@ def schema_versions(steps: DataFrame, order: DataFrame) -> DataFrame:
 
     def chain(files: pd.DataFrame) -> pd.DataFrame:
         rows, names, version = [], {}, 1
+
+        def first(path: str) -> str:
+            """path under its longest renamed prefix's first name"""
+            ends = [len(path), *(i for i in range(len(path) - 1, 0, -1) if path[i] == ".")]
+            end = next((i for i in ends if path[:i] in names), None)
+            return path if end is None else names[path[:end]] + path[end:]
+
         for file in files.sort_values("file_no").itertuples():
-            moved = {s["new_path"]: names.get(s["path"], s["path"]) for s in file.steps if s["new_path"] is not None}
+            moved, gone = {}, [s["path"] for s in file.steps if s["change"] in ("renamed", "removed")]
             for s in file.steps:
-                if s["change"] in ("renamed", "removed"):
-                    names.pop(s["path"], None)
-            names.update({k: v for k, v in moved.items() if k != v})
-            for k, v in moved.items():
-                if k == v:
-                    names.pop(k, None)
+                if s["new_path"] is not None:
+                    moved[s["new_path"]] = first(s["path"])
+                    # what was renamed below the path goes with it
+                    moved.update({s["new_path"] + k[len(s["path"]) :]: v for k, v in names.items() if k.startswith(s["path"] + ".")})
+            names = {k: v for k, v in names.items() if not any(k == g or k.startswith(g + ".") for g in gone)}
+            for k in sorted(moved):
+                names.pop(k, None)
+                if first(k) != moved[k]:
+                    names[k] = moved[k]
             version += bool(len(file.steps))
             rows.append((file.feed_id, file.file_no, version, dict(names)))
         return pd.DataFrame(rows, columns=["feed_id", "file_no", "version", "renames"])
@@ -175,28 +185,63 @@ def schema_versions(steps: DataFrame, order: DataFrame) -> DataFrame:
     return files.groupBy("feed_id").applyInPandas(chain, "feed_id long, file_no int, version int, renames map<string,string>")
 
 
+def routes(cells: DataFrame, versions: DataFrame) -> DataFrame:
+    """(feed_id, file_no, path, field, cast, emits): where a path of a file goes, one small row a path.
+
+    field is the path's first name. Cast rules: a field that holds objects and other values over the feed is one column.
+    If its objects only wrap one member that is no object itself, that member's value goes to the field (cast is its
+    name), else the objects are kept as JSON (cast is '') and what is below them goes nowhere else. emits: whether the
+    path's cells give values: all but objects whose members stand for them.
+    """
+    is_object = F.col("type") == "object"
+    keys = F.json_object_keys("value")
+    wraps = F.when((F.size(keys) == 1) & ~F.rlike("value", F.lit(r'^\{"(?:[^"\\]|\\.)*": \{')), F.get(keys, F.lit(0))).otherwise("")
+    per = cells.where("path <> ''").groupBy("feed_id", "file_no", "path").agg(
+        F.max(is_object).alias("object"), F.max(~is_object).alias("plain"), F.max(~is_object & (F.col("type") != "null")).alias("other"),
+        F.max(is_object & (F.col("value") == "{}")).alias("empty"), F.collect_set(F.when(is_object & (F.col("value") != "{}"), wraps)).alias("wraps"),
+    )
+
+    def first(path: Column) -> Column:
+        prefix = F.get(F.filter(F.reverse(ancestors(path)), lambda a: F.map_contains_key("renames", a)), F.lit(0))
+        return F.when(prefix.isNotNull(), F.concat(F.try_element_at("renames", prefix), F.substring(path, F.length(prefix) + 1, F.length(path)))).otherwise(path)
+
+    above = F.transform(F.filter(ancestors(F.col("path")), lambda a: a != F.col("path")), lambda a: F.struct(a.alias("path"), first(a).alias("field")))
+    named = per.join(versions, ["feed_id", "file_no"]).withColumn("field", first(F.col("path"))).withColumn("above", above)
+    met = named.groupBy("feed_id", "field").agg(F.max("object").alias("object"), F.max("other").alias("other"), F.array_distinct(F.flatten(F.collect_list("wraps"))).alias("wraps"))
+    cast = F.when(F.size("wraps") == 1, F.get("wraps", F.lit(0))).otherwise("")
+    casts = met.where("object and other").groupBy("feed_id").agg(F.map_from_entries(F.collect_list(F.struct("field", cast.alias("cast")))).alias("casts"))
+    told = named.join(casts, "feed_id", "left").withColumn("casts", F.coalesce("casts", F.create_map().cast("map<string,string>")))
+    held = F.filter("above", lambda a: F.map_contains_key("casts", a["field"]) & F.startswith("field", F.concat(a["field"], F.lit("."))))
+    told = told.withColumn("held", held).withColumn("cast", F.try_element_at("casts", "field"))
+    inside = F.exists("held", lambda a: F.try_element_at("casts", a["field"]) == "")
+    member = F.get(F.filter("held", lambda a: F.concat(a["path"], F.lit("."), F.try_element_at("casts", a["field"])) == F.col("path")), F.lit(0))
+    emits = ~inside & (F.col("plain") | F.col("empty") | F.coalesce(F.col("object") & (F.col("cast") == ""), F.lit(False)))
+    return told.select("feed_id", "file_no", "path", F.coalesce(member["field"], "field").alias("field"), "cast", emits.alias("emits"))
+
+
 def drift(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(the consistent table, the steps).
 
-    The table: record_id, feed_id, file_no, version, posting, fields (map of first path names to text), of every record;
-    absent fields are null in it by default, numbers and booleans are cast to text, containers to JSON, since a path
-    whose type changed has no narrower common type. Records without a readable object have null fields. Steps: see
+    The table: record_id, feed_id, file_no, version, posting, fields (map of first path names to text), of every record.
+    Default rule: every field of the feed is in the map, null where the record has none. Cast rules: numbers and booleans
+    are cast to text, arrays to JSON, and a field that is an object in some records and none in others is unwrapped or
+    kept as JSON (see routes()); an empty object is '{}'. Records without a readable object have null fields. Steps: see
     differences(). Repeated records stay rows of their own.
     """
     cells, order = materialize(fields(records), "cells"), file_order(records)
     steps = materialize(differences(cells, order), "steps")
     versions = schema_versions(steps, order)
-    named = cells.where("type <> 'object'").join(versions, ["feed_id", "file_no"])
-    # the longest renamed prefix of the path is replaced by its first name
-    prefix = F.element_at(F.filter(F.reverse(ancestors(F.col("path"))), lambda a: F.map_contains_key("renames", a)), 1)
-    prefix = F.when(F.exists(ancestors(F.col("path")), lambda a: F.map_contains_key("renames", a)), prefix)
-    first = F.when(prefix.isNotNull(), F.concat(F.element_at("renames", prefix), F.substring(F.col("path"), F.length(prefix) + 1, F.length("path")))).otherwise(F.col("path"))
-    routed = named.select("record_id", "version", "posting", first.alias("field"), "value")
+    ways = routes(cells, versions).where("emits").drop("emits")
+    defaults = ways.groupBy("feed_id").agg(F.array_sort(F.collect_set("field")).alias("every"))
+    stands = (F.col("type") != "object") | (F.col("value") == "{}") | F.coalesce(F.col("cast") == "", F.lit(False))
+    routed = cells.join(ways, ["feed_id", "file_no", "path"]).where(stands).select("record_id", "field", "value")
     # keys shuffled or not, one field once: a clash keeps the greater text
-    one = routed.groupBy("record_id", "field").agg(F.max("value").alias("value"), F.max("version").alias("version"), F.max("posting").alias("posting"))
-    wide = one.groupBy("record_id").agg(F.max("version").alias("version"), F.max("posting").alias("posting"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "value")))).alias("fields"))
+    one = routed.groupBy("record_id", "field").agg(F.max("value").alias("value"))
+    maps = one.groupBy("record_id").agg(F.map_from_entries(F.collect_list(F.struct("field", "value"))).alias("held"))
+    roots = cells.where("path = ''").join(versions.drop("renames"), ["feed_id", "file_no"]).join(defaults, "feed_id", "left").join(maps, "record_id", "left")
+    filled = F.map_from_entries(F.transform(F.coalesce("every", F.array().cast("array<string>")), lambda f: F.struct(f.alias("field"), F.try_element_at("held", f).alias("value"))))
     head = records.select("record_id", "feed_id", F.col("file_no").cast("int"))
-    return head.join(wide, "record_id", "left"), steps
+    return head.join(roots.select("record_id", "version", "posting", filled.alias("fields")), "record_id", "left"), steps
 
 
 def changes_found(records: DataFrame) -> DataFrame:

@@ -187,3 +187,21 @@ def test_unreadable_records(spark):
     table, steps = drift.drift(records(spark, (1, [None, "", "{broken", "[1]", {"id": 1}]), (2, [{"id": 1}, {}])))
     assert steps.count() == 0 and table.count() == 7
     assert drift.drift(records(spark, (1, [None])).limit(0))[1].count() == 0
+
+
+def test_casts_and_chained_levels(spark):
+    """Fields that turn from scalars into objects stay one column; renames chain across levels; absent fields are null."""
+    one = [{"id": i, "day": f"d{i}", "place": f"p{i}", "pay": {"currency": f"c{i}", "min": i}, "bare": {}} for i in range(5)]
+    two = [{"id": i, "day": {"value": f"d{i}"}, "place": {"city": f"p{i}", "zip": i}, "pay": {"ccy": f"c{i}", "min": i}, "bare": {}} for i in range(5)]
+    three = [{"id": i, "day": {"value": None} if i else {}, "place": None, "salary": {"ccy": f"c{i}", "min": i}} for i in range(5)]
+    four = [{"id": i, "day": f"d{i}", "salary": {"cur": f"c{i}", "min": i}, "note": i} for i in range(5)] + [{}]
+    table, steps = drift.drift(records(spark, (1, one), (2, two), (3, three), (4, four)))
+    got = {(r["file_no"], r["path"], r["change"], r["new_path"]) for r in steps.where("change = 'renamed'").collect()}
+    assert got == {(2, "pay.currency", "renamed", "pay.ccy"), (3, "pay", "renamed", "salary"), (4, "salary.ccy", "renamed", "salary.cur")}
+    rows = {r["record_id"]: r["fields"] for r in table.collect()}
+    every = {"id", "day", "place", "pay.currency", "pay.min", "bare", "note"}
+    assert all(set(f) == every for f in rows.values())
+    assert [rows[n]["day"] for n in (102, 202, 302, 300, 402)] == ["d2", "d2", None, "{}", "d2"]
+    assert [rows[n]["place"] for n in (102, 202, 302)] == ["p2", '{"city": "p2", "zip": 2}', None]
+    assert [rows[n]["pay.currency"] for n in (102, 202, 302, 402)] == ["c2"] * 4 and [rows[n]["pay.min"] for n in (102, 202, 302, 402)] == ["2"] * 4
+    assert [rows[n]["bare"] for n in (102, 202, 302)] == ["{}", "{}", None] and rows[402]["note"] == "2" and set(rows[405].values()) == {None}
