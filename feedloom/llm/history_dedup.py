@@ -11,6 +11,7 @@ and the true distance is computed last.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +20,7 @@ from pyspark.sql import Window as W
 
 from feedloom.functions import text as T
 from feedloom.llm.canonical import map_places, segments
-from feedloom.session import materialize
+from feedloom.session import materialize, scratch_dir
 
 #: Fixed pivots for names; any strings are valid, spread in length and letters so that distances to them differ.
 PIVOTS = ("", "aeiourstln", "systemsnetworksanalytics", "mnopqrstuvwxyzkghbd")
@@ -40,9 +41,18 @@ def employer_name(employer: Column) -> Column:
     return F.coalesce(F.array_join(kept, ""), F.lit(""))
 
 
+def board_counts(rows: DataFrame) -> DataFrame:
+    """(board_id, name, n): the rows of each board that name an employer, by employer."""
+    return rows.select("board_id", employer_name(F.col("employer")).alias("name")).where("name <> '' and board_id is not null").groupBy("board_id", "name").agg(F.count("*").alias("n"))
+
+
 def board_employers(rows: DataFrame, share: float = 0.9) -> DataFrame:
     """(board_id, board_name) of boards on which one employer has at least share of the rows that name one."""
-    counts = rows.select("board_id", employer_name(F.col("employer")).alias("name")).where("name <> '' and board_id is not null").groupBy("board_id", "name").agg(F.count("*").alias("n"))
+    return leading_employers(board_counts(rows), share)
+
+
+def leading_employers(counts: DataFrame, share: float = 0.9) -> DataFrame:
+    """board_employers() from board_counts()."""
     top = counts.groupBy("board_id").agg(F.max_by("name", F.struct("n", "name")).alias("board_name"), F.max("n").alias("most"), F.sum("n").alias("total"))
     return top.where(F.col("most") >= share * F.col("total")).select("board_id", "board_name")
 
@@ -68,6 +78,32 @@ def spelling(counts: DataFrame, ratio: int = 5, least: int = 3) -> DataFrame:
     return pairs.where(T.near(F.col("word"), F.col("correct"))).groupBy("word").agg(F.max_by("correct", F.struct("n", "correct")).alias("correct"))
 
 
+def _base(rows: DataFrame) -> DataFrame:
+    return rows.select("row_id", "ord", employer_name(F.col("employer")).alias("name"), "board_id", F.coalesce(T.squeeze("title"), F.lit("")).alias("title"), F.coalesce("location", F.lit("")).alias("value"))
+
+
+def _places(rows: DataFrame, ref: DataFrame) -> DataFrame:
+    """(value, place, own): each distinct location with its place and the words of that place's names."""
+    # distinct places and titles are read from the rows anew: two pruned scans cost less than a copy of the rows
+    located = rows.select(F.coalesce("location", F.lit("")).alias("value"))
+    places = map_places(located, "value", ref)
+    own = F.array(*[F.coalesce(T.plain(F.col(c)), F.lit("")) for c in ("city", "alt_name", "region", "country")])
+    ref_words = ref.select("place_id", F.array_distinct(F.flatten(F.transform(own, lambda x: F.split(x, r"[^\p{L}\p{N}]+")))).alias("own"))
+    values = located.distinct().join(places, "value", "left").join(ref_words, "place_id", "left")
+    place = F.when(F.coalesce("place_id", F.lit(0)) > 0, F.col("place_id").cast("string")).otherwise(F.concat(F.lit("="), F.array_join(F.array_sort(segments(F.col("value"))), ",")))
+    return values.select("value", place.alias("place"), F.coalesce("own", F.array().cast("array<string>")).alias("own"))
+
+
+def _title_texts(rows: DataFrame) -> DataFrame:
+    """(title, n, word): each distinct title's words, n the rows with the title."""
+    return rows.select(F.coalesce(T.squeeze("title"), F.lit("")).alias("title")).groupBy("title").agg(F.count("*").alias("n")).select("title", "n", F.explode(title_words(F.col("title"))).alias("word")).where("word <> ''")
+
+
+def _block(words: Column) -> Column:
+    kept = F.filter(F.coalesce(words, F.array().cast("array<string>")), lambda w: ~F.array_contains("own", w))
+    return F.concat_ws("|", "place", F.array_join(kept, " "))
+
+
 def openings(rows: DataFrame, ref: DataFrame, boards: DataFrame) -> DataFrame:
     """(row_id, ord, block, name): the coordinates of each row in the metric space.
 
@@ -75,23 +111,35 @@ def openings(rows: DataFrame, ref: DataFrame, boards: DataFrame) -> DataFrame:
     an employer has its board's (boards: board_employers()), else the board stands for it. Null or blank titles have no words; a place that is no entry of ref counts as it is written, a null place as ''. Title words that
     name the row's own place are left out. Each distinct title and place is worked on once.
     """
-    base = rows.select("row_id", "ord", employer_name(F.col("employer")).alias("name"), "board_id", F.coalesce(T.squeeze("title"), F.lit("")).alias("title"), F.coalesce("location", F.lit("")).alias("value"))
+    base = _base(rows)
     nameless = base.where("name = ''").join(boards, "board_id", "left").withColumn("name", F.coalesce("board_name", F.concat(F.lit("board:"), F.coalesce("board_id", F.lit("")))))
     base = base.where("name <> ''").drop("board_id").unionByName(nameless.drop("board_id", "board_name"))
-    # distinct places and titles are read from the rows anew: two pruned scans cost less than a copy of the rows
-    located = rows.select(F.coalesce("location", F.lit("")).alias("value"))
-    places = map_places(located, "value", ref)
-    own = F.array(*[F.coalesce(T.plain(F.col(c)), F.lit("")) for c in ("city", "alt_name", "region", "country")])
-    ref_words = ref.select("place_id", F.array_distinct(F.flatten(F.transform(own, lambda x: F.split(x, r"[^\p{L}\p{N}]+")))).alias("own"))
-    values = located.distinct().join(places, "value", "left").join(ref_words, "place_id", "left")
-    place = F.when(F.coalesce("place_id", F.lit(0)) > 0, F.col("place_id").cast("string")).otherwise(F.concat(F.lit("="), F.array_join(F.array_sort(segments(F.col("value"))), ",")))
-    values = values.select("value", place.alias("place"), F.coalesce("own", F.array().cast("array<string>")).alias("own"))
-    texts = rows.select(F.coalesce(T.squeeze("title"), F.lit("")).alias("title")).groupBy("title").agg(F.count("*").alias("n")).select("title", "n", F.explode(title_words(F.col("title"))).alias("word")).where("word <> ''")
+    values, texts = _places(rows, ref), _title_texts(rows)
     fixes = spelling(texts.groupBy("word").agg(F.sum("n").alias("n")))
     titles = texts.join(fixes, "word", "left").select("title", F.coalesce("correct", "word").alias("word")).groupBy("title").agg(F.array_sort(F.collect_list("word")).alias("words"))
     out = base.join(titles, "title", "left").join(values, "value", "left")
-    kept = F.filter(F.coalesce("words", F.array().cast("array<string>")), lambda w: ~F.array_contains("own", w))
-    return out.select("row_id", "ord", F.concat_ws("|", "place", F.array_join(kept, " ")).alias("block"), "name")
+    return out.select("row_id", "ord", _block(F.col("words")).alias("block"), "name")
+
+
+#: What an opening is before anything counted over history (slips, boards' employers) is applied.
+PARTS = ("employer", "board_id", "place", "own", "words")
+
+
+def parts(rows: DataFrame, ref: DataFrame) -> DataFrame:
+    """(row_id, ord, PARTS): openings() without corrections; board_id only where no employer is named (employer '')."""
+    titles = _title_texts(rows).groupBy("title").agg(F.array_sort(F.collect_list("word")).alias("words"))
+    out = _base(rows).join(titles, "title", "left").join(_places(rows, ref), "value", "left")
+    board = F.when(F.col("name") == "", F.coalesce("board_id", F.lit("")))
+    return out.select("row_id", "ord", F.col("name").alias("employer"), board.alias("board_id"), "place", "own", F.coalesce("words", F.array().cast("array<string>")).alias("words"))
+
+
+def placed(rows: DataFrame, boards: DataFrame, fixes: DataFrame) -> DataFrame:
+    """rows (with PARTS) and their block and name under boards (board_employers()) and fixes (spelling())."""
+    each = rows.select("words").distinct().select("words", F.explode("words").alias("word"))
+    fixed = each.join(fixes, "word", "left").groupBy("words").agg(F.array_sort(F.collect_list(F.coalesce("correct", "word"))).alias("fixed"))
+    out = rows.join(fixed, "words", "left").join(boards, "board_id", "left")
+    name = F.when(F.col("employer") != "", F.col("employer")).otherwise(F.coalesce("board_name", F.concat(F.lit("board:"), "board_id")))
+    return out.select(*rows.columns, _block(F.col("fixed")).alias("block"), name.alias("name"))
 
 
 def pivot_table(points: DataFrame) -> DataFrame:
@@ -177,26 +225,83 @@ def find_repeats(history: DataFrame, incoming: DataFrame, ref: DataFrame, radius
     return repeats(points.where("ord.later = 1"), stored, radius)
 
 
-def _append(table: DataFrame, path: str, mode: str) -> None:
+def _distances() -> list[Column]:
+    return [F.levenshtein(F.col("name"), F.lit(p)).alias(f"d{i}") for i, p in enumerate(PIVOTS)]
+
+
+def _append(rows: DataFrame, path: str, mode: str) -> None:
+    """Store accepted rows (with PARTS, block, name) as pivot-table rows, one for each way of writing an opening."""
+    table = rows.groupBy(*PARTS, "block", "name").agg(F.min(F.struct("ord", "row_id")).alias("first")).select(*PARTS, "block", "name", "first", *_distances())
     table.repartitionByRange("block", "d0").sortWithinPartitions("block", "d0").write.mode(mode).parquet(f"{path}/pivots")
 
 
+def _word_counts(rows: DataFrame) -> DataFrame:
+    return _title_texts(rows).groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def _summed(stored: DataFrame, more: DataFrame, *keys: str) -> DataFrame:
+    return stored.unionByName(more).groupBy(*keys).agg(F.sum("n").alias("n"))
+
+
 def build_history(history: DataFrame, ref: DataFrame, path: str) -> None:
-    """Write the pivot table of history to path, range-partitioned by block and first distance, and its boards' employers."""
-    boards = board_employers(history)
-    _append(pivot_table(openings(in_order(history, None), ref, boards)), path, "overwrite")
-    boards.write.mode("overwrite").parquet(f"{path}/boards")
+    """Write the pivot table of history to path, range-partitioned by block and first distance, with what is counted over it.
+
+    Beside the pivots lie counts of title words and of boards' employers, one part for each batch, and the words ever corrected.
+    """
+    rows = in_order(history, None)
+    words, boards = materialize(_word_counts(rows), "words"), materialize(board_counts(rows), "boards")
+    fixes = materialize(spelling(words), "fixes")
+    _append(placed(parts(rows, ref), leading_employers(boards), fixes), path, "overwrite")
+    for name, table in (("words", words), ("board_counts", boards), ("corrected", fixes.select("word"))):
+        table.write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def restated(pivots: DataFrame, boards: DataFrame, fixes: DataFrame, corrected: DataFrame) -> DataFrame:
+    """(block, name, first, d0..): the stored pivot table as today's counts have it.
+
+    Counts move a stored row only where it names no employer or has a word that is or was corrected; only these are
+    placed anew. Rows that thereby become one opening have its first row.
+    """
+    changing = fixes.select("word").unionByName(corrected).distinct()
+    moved = pivots.select("words").distinct().select("words", F.explode("words").alias("word")).join(changing, "word", "left_semi").select("words").distinct()
+    moved = materialize(moved.withColumn("moved", F.lit(True)), "moved")
+    told = pivots.join(moved, "words", "left")
+    still = F.col("moved").isNull() & (F.col("employer") != "")
+    distances = [f"d{i}" for i in range(len(PIVOTS))]
+    anew = placed(told.where(~still).select(*PARTS, "first"), boards, fixes).select("block", "name", "first", *_distances())
+    every = told.where(still).select("block", "name", "first", *distances).unionByName(materialize(anew, "anew"))
+    return every.groupBy("block", "name").agg(F.min("first").alias("first"), *[F.min(d).alias(d) for d in distances])
 
 
 def check_batch(spark: SparkSession, path: str, batch: DataFrame, ref: DataFrame, radius: int = RADIUS) -> DataFrame:
     """The batch's repeats of what path holds or of its own earlier rows; what is accepted is appended to path.
 
-    History is read once as the narrow pivot table, whose files carry block ranges; no row of history is worked on again.
+    Slips and boards' employers are judged by the counts of history and all batches up to this one. History is read as
+    the narrow pivot table, whose files carry block ranges; no row of history is worked on again.
     """
-    points = materialize(openings(in_order(None, batch), ref, spark.read.parquet(f"{path}/boards")), "points")
-    stored = spark.read.parquet(f"{path}/pivots")
-    found = materialize(repeats(points, stored, radius), "repeats")
+    rows = in_order(None, batch)
+    more_words, more_boards = materialize(_word_counts(rows), "words"), materialize(board_counts(rows), "boards")
+    boards = materialize(leading_employers(_summed(spark.read.parquet(f"{path}/board_counts"), more_boards, "board_id", "name")), "employers")
+    fixes = materialize(spelling(_summed(spark.read.parquet(f"{path}/words"), more_words, "word")), "fixes")
+    corrected = spark.read.parquet(f"{path}/corrected")
+    points = materialize(placed(parts(rows, ref), boards, fixes), "points")
+    stored = restated(spark.read.parquet(f"{path}/pivots"), boards, fixes, corrected)
+    found = materialize(repeats(points.select("row_id", "ord", "block", "name"), stored, radius), "repeats")
     fresh = points.join(found.select(F.col("incoming_row_id").alias("row_id")), "row_id", "left_anti")
     # a repeat under a new spelling is not accepted, but its accepted opening is already stored
-    _append(materialize(pivot_table(fresh).join(stored.select("block", "name"), ["block", "name"], "left_anti"), "fresh"), path, "append")
+    fresh = materialize(fresh.join(stored.select("block", "name"), ["block", "name"], "left_anti"), "fresh")
+    newly = materialize(fixes.select("word").join(corrected, "word", "left_anti"), "corrected")
+    _append(fresh, path, "append")
+    for name, table in (("words", more_words), ("board_counts", more_boards), ("corrected", newly)):
+        table.write.mode("append").parquet(f"{path}/{name}")
     return found
+
+
+def find_by_batch(history: DataFrame, incoming: DataFrame, ref: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(accepted_row_id, incoming_row_id): history stored once, then batch after batch (batch_no) checked and appended."""
+    spark = history.sparkSession
+    path = f"{scratch_dir(spark)}/history-{uuid.uuid4().hex}"
+    build_history(history, ref, path)
+    numbers = sorted(r[0] for r in incoming.select("batch_no").distinct().collect())
+    found = [check_batch(spark, path, incoming.where(F.col("batch_no") == n), ref, radius) for n in numbers]
+    return reduce(DataFrame.unionByName, found) if found else find_repeats(history, incoming, ref, radius)

@@ -20,6 +20,11 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return history_dedup.find_repeats(_table(spark, d, "job_rows"), _table(spark, d, "incoming_rows"), _table(spark, d, "places_ref"))
 
 
+def p1_batches(spark: SparkSession, d: str) -> DataFrame:
+    """p1_found by way of the stored history: each batch is checked with what is known by then and appended."""
+    return history_dedup.find_by_batch(_table(spark, d, "job_rows"), _table(spark, d, "incoming_rows"), _table(spark, d, "places_ref"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return canonical.places_found(_table(spark, d, "postings"), _table(spark, d, "incoming_rows"), _table(spark, d, "places_ref"))
 
@@ -69,7 +74,7 @@ def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = (p1_found, p5_found, p5_unmatched, p6_found, p6_survivors, p8_found, p8_containers, p9_found, p9_mix, p9_shares, p10_found, p10_pieces)
+    named = (p1_found, p1_batches, p5_found, p5_unmatched, p6_found, p6_survivors, p8_found, p8_containers, p9_found, p9_mix, p9_shares, p10_found, p10_pieces)
     return {f.__name__: f for f in named}
 
 

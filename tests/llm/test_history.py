@@ -72,3 +72,18 @@ def test_links_equal_brute_force(spark):
 def test_spelling(spark):
     counts = spark.createDataFrame([("foundations", 90), ("foundatoins", 2), ("lead", 50), ("led", 1), ("staff", 40), ("stuff", 39), ("xy", 1)], "word string, n long")
     assert {tuple(r) for r in H.spelling(counts).collect()} == {("foundatoins", "foundations"), ("led", "lead")}
+
+
+def test_batches_are_corrected_by_all_counts(spark, tmp_path):
+    """Slips and boards' employers are judged by history and the batches so far, and stored rows follow the counts."""
+    ref = spark.createDataFrame(REF, SCHEMA)
+    path = str(tmp_path / "history")
+    history = [(i, f"Employer {chr(96 + i)}", f"h:{i}", "Content Planner", "Yaslobia") for i in range(1, 11)] + [(11, "Solo", "h:11", "Qeury Writer", "Yaslobia"), (12, None, "n:1", "Editor", "Yaslobia")]
+    H.build_history(rows(spark, *history), ref, path)
+    check = lambda *batch: {tuple(r) for r in H.check_batch(spark, path, rows(spark, *batch), ref).collect()}
+    assert check((101, "Employer c", "y:1", "Cotent Planner", "Yaslobia")) == {(3, 101)}  # 'content' is frequent in history alone
+    assert check(*[(200 + i, name, f"z:{i}", "Query Writer", "Yaslobia") for i, name in enumerate(("Amber", "Birch", "Cobalt", "Dune", "Ember Works", "Fjord"))]) == set()
+    assert check((301, "Solo", "z:9", "Query Writer", "Yaslobia")) == {(11, 301)}  # the stored slip is known as one by now
+    assert check((401, "Boardly", "n:1", "Writer", "Yaslobia")) == set()
+    assert check((501, "Boardly", "n:2", "Editor", "Yaslobia")) == {(12, 501)}  # the board's employer became known
+    assert check((601, "Solo", "z:9", "Qeury Writer", "Yaslobia"), (602, None, "n:1", "Editor", "Yaslobia")) == {(11, 601), (12, 602)}
