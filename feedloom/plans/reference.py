@@ -6,6 +6,8 @@ Policy (terms, limits, allowed names) is an argument of the operators; what stan
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -274,6 +276,50 @@ def as_written_merge(t):
     return stores.as_written(_snapshot(t, 5).select(*columns), _snapshot(t, 6).select(*columns), "identity")
 
 
+def _fold_sql(step: str, first: str, last: str) -> str:
+    """WITH m1 from the first of the six snapshots, then each m{n} from m{b} and snapshot n{n}, polled at t{n}.now."""
+    parts = [f"n{n} AS ({SQL_SNAPSHOT.format(n=n)}), t{n} AS (SELECT max(taken_at) AS now FROM seen_snapshots WHERE snapshot_no = {n})" for n in range(1, 7)]
+    merged = [f"m1 AS ({first})", *(f"m{n} AS ({step.format(n=n, b=n - 1)})" for n in range(2, 7))]
+    return f"WITH {', '.join([*parts, *merged])} {last}"
+
+
+def _polls(t) -> list[tuple[int, DataFrame, F.Column]]:
+    """Every snapshot in order: its number, its rows, the time it was taken."""
+    taken = t("seen_snapshots").groupBy("snapshot_no").agg(F.unix_micros(F.max("taken_at")).alias("us")).orderBy("snapshot_no").collect()  # a row a snapshot
+    return [(r["snapshot_no"], _snapshot(t, r["snapshot_no"]), F.timestamp_micros(F.lit(r["us"]))) for r in taken]
+
+
+@query(_fold_sql(
+    """SELECT identity, coalesce(s.first_seen, now) AS first_seen, coalesce(s.published_at, n.published_at) AS published_at, coalesce(n.source, s.source) AS source, coalesce(s.board_id, n.board_id) AS board_id,
+CASE WHEN n.here THEN now ELSE s.last_seen END AS last_seen FROM m{b} s FULL JOIN (SELECT *, true AS here FROM n{n}) n USING (identity) CROSS JOIN t{n}""",
+    "SELECT identity, first_seen, published_at, source, board_id, last_seen FROM n1",
+    "SELECT identity, epoch_us(first_seen) AS first_seen_us, epoch_us(published_at) AS published_us, source, board_id, epoch_us(last_seen) AS last_seen_us FROM m6"))
+def seen_merge_all(t):
+    """seen_merge of every snapshot in order, each a poll at its own time, into the store the first one is."""
+    (_, store, _), *polls = _polls(t)
+    for _, polled, now in polls:
+        store = stores.merge_seen(store, polled, now)
+    return store.select("identity", us("first_seen").alias("first_seen_us"), us("published_at").alias("published_us"), "source", "board_id", us("last_seen").alias("last_seen_us"))
+
+
+@query(f"""WITH a AS ({" UNION ALL ".join(f"SELECT {n} AS snapshot_no, identity, nullif(trim(title), '') AS t, nullif(trim(location), '') AS l, nullif(trim(url), '') AS u FROM ({SQL_SNAPSHOT.format(n=n)})" for n in range(1, 7))})
+SELECT x.snapshot_no, x.identity, CASE WHEN y.identity IS NULL THEN 'new' WHEN x.t IS NOT DISTINCT FROM y.t AND x.l IS NOT DISTINCT FROM y.l AND x.u IS NOT DISTINCT FROM y.u THEN 'unchanged' ELSE 'changed' END AS state
+FROM a x LEFT JOIN a y ON x.identity = y.identity AND x.snapshot_no = y.snapshot_no + 1 WHERE x.snapshot_no > 1""")
+def display_diff_all(t):
+    """display_diff of each snapshot against the one before it."""
+    diffs = [stores.differs(new, old, "identity", ["title", "location", "url"]).withColumn("snapshot_no", F.lit(n)) for (_, old, _), (n, new, _) in pairwise(_polls(t))]
+    return reduce(DataFrame.unionByName, diffs).select("snapshot_no", "identity", "state")
+
+
+@query(_fold_sql(
+    "SELECT identity, CASE WHEN n.here THEN n.title ELSE s.title END AS title, CASE WHEN n.here THEN n.location ELSE s.location END AS location FROM m{b} s FULL JOIN (SELECT *, true AS here FROM n{n}) n USING (identity)",
+    "SELECT identity, title, location FROM n1", "SELECT identity, title, location FROM m6"))
+def as_written_merge_all(t):
+    """as_written_merge of every snapshot in order."""
+    columns = ["identity", "title", "location"]
+    return reduce(lambda held, new: stores.as_written(held, new, "identity"), [shot.select(*columns) for _, shot, _ in _polls(t)])
+
+
 @query("""SELECT identity, string_agg(DISTINCT store, ',' ORDER BY store) AS stores FROM (SELECT identity, 'a_job_rows' AS store FROM job_rows UNION ALL SELECT identity, 'b_incoming' FROM incoming_rows UNION ALL SELECT identity, 'c_groups' FROM group_rows) GROUP BY identity HAVING count(DISTINCT store) > 1""")
 def exclusivity(t):
     return stores.in_several({"a_job_rows": t("job_rows"), "b_incoming": t("incoming_rows"), "c_groups": t("group_rows")}, "identity")

@@ -109,3 +109,20 @@ def test_first_in_range_equals_nested_loop(spark):
     for r in got.collect():
         hits = [(at, rid) for rid, k, at in right if k == r["k"] and r["t"] < at <= r["t"] + dt.timedelta(days=1)]
         assert r["first_rid"] == (min(hits)[1] if hits else None)
+
+
+def test_every_snapshot_takes_part(spark, tmp_path):
+    """first_seen and published_at known from early snapshots alone reach the store; each step has its differences."""
+    from feedloom.plans import reference
+
+    day = lambda n: dt.datetime(2026, 1, n)
+    shot = lambda n, identity, first, published, title: (n, day(10 + n), identity, first, published, "s", "b", day(n), title, "l", "u")
+    rows = [shot(1, "a", day(1), day(2), "t"), shot(1, "gone", day(1), None, "t"), shot(2, "a", day(5), None, "t2"), shot(3, "a", day(6), day(7), "t2"), shot(3, "c", day(8), None, "x")]
+    schema = "snapshot_no int, taken_at timestamp, identity string, first_seen timestamp, published_at timestamp, source string, board_id string, last_seen timestamp, title string, location string, url string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/seen_snapshots.parquet")
+    run = lambda name: reference.queries()[name](spark, str(tmp_path)).collect()
+    us = {n: r[0] for n in (1, 2, 11, 13) for r in spark.createDataFrame([(day(n),)], "d timestamp").selectExpr("unix_micros(d)").collect()}
+    got = {r["identity"]: (r["first_seen_us"], r["published_us"], r["last_seen_us"]) for r in run("seen_merge_all")}
+    assert got == {"a": (us[1], us[2], us[13]), "gone": (us[1], None, us[1]), "c": (us[13], None, us[13])}
+    assert {tuple(r) for r in run("display_diff_all")} == {(2, "a", "changed"), (3, "a", "unchanged"), (3, "c", "new")}
+    assert {r["identity"]: r["title"] for r in run("as_written_merge_all")} == {"a": "t2", "gone": "t", "c": "x"}
