@@ -77,3 +77,13 @@ def test_years_and_places_of_work(spark):
 
 def test_emails(spark):
     assert one(spark, "Jobs@A.example, jobs@a.example; x@b.example", D.emails) == ["jobs@a.example", "x@b.example"]
+
+
+def test_years_by_line_start_and_voice(spark):
+    lines = "array<string>"
+    asked = {
+        ("We ask for 5 or more years of experience",): [5], ("Minimum of 7 years leading teams", "Requirements: 4 years"): [7, 4], ("Experience3yrs in sales",): [3], ("5yrs of Java",): [5],
+        ("We have a role for a candidate with 6 years of experience",): [6], ("The firm has 30 years of experience",): [], ("We ask for 5 years of work",): [5], ("Over the next 3 years experience counts",): [],
+    }
+    for value, expected in asked.items():
+        assert one(spark, list(value), D.years_asked, lines) == expected, value
