@@ -1,30 +1,46 @@
 """New batches checked for repeats against all accepted history (problem 1).
 
-An opening is a point of the metric space  d(x, y) = BIG * [block(x) <> block(y)] + levenshtein(name(x), name(y)):
-the block holds what must agree however it is written (place, and the title's words, so level, role and area), the name
-is the employer's, compacted. The sum of a discrete metric and the Levenshtein distance is a metric. History is kept as
-a table of pivot distances: one row per spelling of an opening with the distances of its name to fixed pivots. A new
-name can lie within r of a stored one only where every pivot distance differs by at most r, so a batch meets only the
-stored rows of its own block and of neighbouring ranges of the first pivot's distance, the other pivots prune the rest,
-and the true distance is computed last.
+An opening is a point (place, title, name): the canonical place, the title's words and the employer's compacted name.
+
+    d(x, y) = BIG * [place(x) <> place(y)] + letters(title(x), title(y)) + levenshtein(name(x), name(y))
+
+letters() is the L1 distance of letter counts: the order of words and a blank too many cost nothing, two swapped letters
+nothing, a letter more or less 1, another letter 2. Each part is a (pseudo)metric, so d is one, and the distances of a
+point to fixed pivots differ from those of any point within r by at most r.
+
+What is accepted lies in a folder as a pivot-distance table: one row a way of writing an opening, with its pivot
+distances, partitioned by a hash of the place and the ranges some distances fall into. A batch reads the partitions its own
+ranges lie in, meets only points of the same ranges in one equi-join, is pruned by the triangle inequality on every pivot,
+and verified by the true distance and by the words that differ. Accepted rows are appended; nothing stored is worked on again.
 """
 
 from __future__ import annotations
 
+import math
+import string
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from feedloom.functions import text as T
 from feedloom.llm.canonical import map_places, segments
 from feedloom.session import materialize, scratch_dir
 
-#: Fixed pivots for names; any strings are valid, spread in length and letters so that distances to them differ.
-PIVOTS = ("", "aeiourstln", "systemsnetworksanalytics", "mnopqrstuvwxyzkghbd")
+#: Pivots of names: any strings are valid, spread in length and letters so that distances to them differ.
+NAME_PIVOTS = ("", "aeiourstln", "systemsnetworksanalytics")
+#: Pivots of titles: the long word of no letter, and those of the letters whose number in the alphabet has a given bit.
+TITLE_PIVOTS = ("", *("".join(chr(97 + i) for i in range(26) if i >> bit & 1) for bit in range(4)))
+#: Greatest distance of titles and of names.
 RADIUS = 2
+#: Pivots whose ranges are part of the join's key (the others prune what meets).
+KEYED = ("t1", "t2", "t3", "n1")
+#: Stored rows to a partition folder.
+PER_BUCKET, MOST_BUCKETS = 200_000, 4096
 
 # Legal forms and articles that don't tell employers apart.
 LEGAL = ("the", "ltd", "limited", "inc", "incorporated", "gmbh", "llc", "plc", "corp", "corporation", "co", "sa", "ag", "bv", "srl", "spa", "kg", "se", "oy", "ab")
@@ -34,274 +50,380 @@ SHORT = {"sr": "senior", "snr": "senior", "jr": "junior", "jnr": "junior", "eng"
 NOISE = ("urgent", "urgently", "new", "hiring", "now", "we", "re", "are", "were", "apply", "remote", "hybrid", "onsite", "full", "part", "time", "fulltime", "in", "at", "the", "a", "an", "and", "of", "for", "m", "f", "d", "x", "w", "h", "mfd", "fmd", "ref", "job", "id", "req", "hot", "immediate", "start", "permanent", "home", "office", "based", "all", "genders")
 
 
-def employer_name(employer: Column) -> Column:
+@dataclass(frozen=True)
+class Wording:
+    """Which differences in writing don't matter: an argument of every entry point. ratio: how many times as frequent as a slip its right word is."""
+
+    legal: Sequence[str] = LEGAL
+    short: dict[str, str] = field(default_factory=lambda: SHORT)
+    noise: Sequence[str] = NOISE
+    ratio: int = 5
+
+
+WORDING = Wording()
+
+
+# ---- points
+
+def employer_name(employer: Column, wording: Wording = WORDING) -> Column:
     """The employer without legal form, case, marks, blanks; '' for none."""
     dotted = F.regexp_replace(T.plain(employer), r"(?<=\b\p{L})\.(?=\p{L}\b|$|\s)", "")
-    kept = F.filter(F.filter(F.split(F.regexp_replace(dotted, r"\bs a\b", "sa"), r"[^\p{L}\p{N}]+"), lambda w: w != ""), lambda w: ~w.isin(*LEGAL))
+    kept = F.filter(F.filter(F.split(F.regexp_replace(dotted, r"\bs a\b", "sa"), r"[^\p{L}\p{N}]+"), lambda w: w != ""), lambda w: ~w.isin(*wording.legal))
     return F.coalesce(F.array_join(kept, ""), F.lit(""))
 
 
-def board_counts(rows: DataFrame) -> DataFrame:
-    """(board_id, name, n): the rows of each board that name an employer, by employer."""
-    return rows.select("board_id", employer_name(F.col("employer")).alias("name")).where("name <> '' and board_id is not null").groupBy("board_id", "name").agg(F.count("*").alias("n"))
+def title_words(title: Column, wording: Wording = WORDING) -> Column:
+    """The title's words in order, short forms written out, without numbers, references and what advertisements add."""
+    bare = F.regexp_replace(T.plain(title), r"\bwe['’]?re\b|\b\w*\d\w*\b|\bfull[- ]time\b|\bpart[- ]time\b|\bon[- ]site\b", " ")
+    parts = F.filter(F.split(bare, r"[^\p{L}\p{N}]+"), lambda w: (w != "") & ~w.isin(*wording.noise))
+    table = F.create_map(*[F.lit(x) for kv in wording.short.items() for x in kv])
+    return F.split(F.array_join(F.transform(parts, lambda w: F.coalesce(F.try_element_at(table, w), w)), " "), " ")
 
 
-def board_employers(rows: DataFrame, share: float = 0.9) -> DataFrame:
-    """(board_id, board_name) of boards on which one employer has at least share of the rows that name one."""
-    return leading_employers(board_counts(rows), share)
+def _places(located: DataFrame, ref: DataFrame) -> DataFrame:
+    """(value, place, own): each distinct location with its place and the words of that place's names."""
+    own = F.array(*[F.coalesce(T.plain(F.col(c)), F.lit("")) for c in ("city", "alt_name", "region", "country")])
+    ref_words = ref.select("place_id", F.array_distinct(F.flatten(F.transform(own, lambda x: F.split(x, r"[^\p{L}\p{N}]+")))).alias("own"))
+    values = located.distinct().join(map_places(located, "value", ref), "value", "left").join(ref_words, "place_id", "left")
+    place = F.when(F.coalesce("place_id", F.lit(0)) > 0, F.col("place_id").cast("string")).otherwise(F.concat(F.lit("="), F.array_join(F.array_sort(segments(F.col("value"))), ",")))
+    return values.select("value", place.alias("place"), F.coalesce("own", F.array().cast("array<string>")).alias("own"))
 
 
-def leading_employers(counts: DataFrame, share: float = 0.9) -> DataFrame:
-    """board_employers() from board_counts()."""
-    top = counts.groupBy("board_id").agg(F.max_by("name", F.struct("n", "name")).alias("board_name"), F.max("n").alias("most"), F.sum("n").alias("total"))
-    return top.where(F.col("most") >= share * F.col("total")).select("board_id", "board_name")
+def points(rows: DataFrame, ref: DataFrame, wording: Wording = WORDING, keep: Sequence[str] = ()) -> DataFrame:
+    """(row_id, identity, external_id, first_seen, keep.., place, title, name, board_id): what each row says, whatever else is known.
 
+    rows: row_id, identity, external_id, first_seen, employer, board_id, title, location; other columns are ignored. A row
+    without an employer has name '' and its board_id ('' for none); others have no board_id. A place that is no entry of ref
+    counts as it is written, a null place as ''. Null or blank titles have no words; title words that name the row's own
+    place are left out. Each distinct place is mapped once.
+    """
+    name = employer_name(F.col("employer"), wording)
+    held = ["row_id", "identity", "external_id", "first_seen", *keep]
+    base = rows.select(*held, F.coalesce("location", F.lit("")).alias("value"), F.coalesce(title_words(F.col("title"), wording), F.array().cast("array<string>")).alias("words"), name.alias("name"), F.when(name == "", F.coalesce("board_id", F.lit(""))).alias("board_id"))
+    located = rows.select(F.coalesce("location", F.lit("")).alias("value"))  # read anew: a pruned scan costs less than a copy of the rows
+    out = base.join(_places(located, ref), "value", "left")
+    title = F.array_join(F.filter("words", lambda w: ~F.array_contains("own", w)), " ")
+    return out.select(*held, "place", title.alias("title"), "name", "board_id")
 
-def title_words(title: Column) -> Column:
-    """The title's words, short forms written out, without numbers, references and what advertisements add."""
-    bare = F.regexp_replace(T.plain(title), r"\bwe['’]?re\b|\b\w*\d\w*\b", " ")
-    parts = F.filter(F.split(F.regexp_replace(bare, r"\bfull[- ]time\b|\bpart[- ]time\b|\bon[- ]site\b", " "), r"[^\p{L}\p{N}]+"), lambda w: (w != "") & ~w.isin(*NOISE))
-    table = F.create_map(*[F.lit(x) for kv in SHORT.items() for x in kv])
-    return F.split(F.array_join(F.transform(parts, lambda w: F.coalesce(F.try_element_at(table, w), w)), " "), " ")
 
+def unnamed(board: Column) -> Column:
+    """The name of a row whose employer nobody knows: its board. It equals itself and is near to nothing."""
+    return F.concat(F.lit("\u0001"), board)
 
-def spelling(counts: DataFrame, ratio: int = 5, least: int = 3) -> DataFrame:
-    """(word, correct) for words that look like a slip of a word at least ratio times as frequent, one edit away.
 
-    counts: word, n, one row a word. Candidates meet on a shared deletion (each word with one letter left out, and
-    itself), so words that share none are never compared. Words under least letters are left alone.
-    """
-    cut = lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w))))
-    keys = counts.where(F.length("word") >= least).select("word", "n", F.explode(F.array_distinct(F.concat(F.array("word"), cut(F.col("word"))))).alias("key"))
-    a, b = keys.select(F.col("word"), F.col("n").alias("rare"), "key"), keys.select(F.col("word").alias("correct"), "n", "key")
-    pairs = a.join(b, "key").where((F.col("n") >= ratio * F.col("rare")) & (F.length("correct") > least)).select("word", "correct", "n").distinct()
-    return pairs.where(T.near(F.col("word"), F.col("correct"))).groupBy("word").agg(F.max_by("correct", F.struct("n", "correct")).alias("correct"))
+def named(rows: DataFrame, employers: DataFrame) -> DataFrame:
+    """points() with name filled in: a row without one has its board's employer, else the board stands for it."""
+    told = rows.join(employers.select("board_id", "board_name"), "board_id", "left")
+    return told.withColumn("name", F.when(F.col("name") != "", F.col("name")).otherwise(F.coalesce("board_name", unnamed(F.col("board_id"))))).drop("board_name")
 
 
-def _base(rows: DataFrame) -> DataFrame:
-    return rows.select("row_id", "ord", employer_name(F.col("employer")).alias("name"), "board_id", F.coalesce(T.squeeze("title"), F.lit("")).alias("title"), F.coalesce("location", F.lit("")).alias("value"))
+def leading_employers(counts: DataFrame, share: float = 0.9) -> DataFrame:
+    """(board_id, board_name, nameless) of boards on which one employer has at least share of the rows that name one.
 
+    counts: (board_id, name, n), '' counting the board's rows that name none.
+    """
+    some = F.col("name") != ""
+    top = counts.groupBy("board_id").agg(F.max_by("name", F.when(some, F.struct("n", "name"))).alias("board_name"), F.max(F.when(some, F.col("n"))).alias("most"), F.sum(F.when(some, F.col("n"))).alias("total"), F.sum(F.when(~some, F.col("n")).otherwise(0)).alias("nameless"))
+    return top.where(F.col("most") >= share * F.col("total")).select("board_id", "board_name", "nameless")
 
-def _places(rows: DataFrame, ref: DataFrame) -> DataFrame:
-    """(value, place, own): each distinct location with its place and the words of that place's names."""
-    # distinct places and titles are read from the rows anew: two pruned scans cost less than a copy of the rows
-    located = rows.select(F.coalesce("location", F.lit("")).alias("value"))
-    places = map_places(located, "value", ref)
-    own = F.array(*[F.coalesce(T.plain(F.col(c)), F.lit("")) for c in ("city", "alt_name", "region", "country")])
-    ref_words = ref.select("place_id", F.array_distinct(F.flatten(F.transform(own, lambda x: F.split(x, r"[^\p{L}\p{N}]+")))).alias("own"))
-    values = located.distinct().join(places, "value", "left").join(ref_words, "place_id", "left")
-    place = F.when(F.coalesce("place_id", F.lit(0)) > 0, F.col("place_id").cast("string")).otherwise(F.concat(F.lit("="), F.array_join(F.array_sort(segments(F.col("value"))), ",")))
-    return values.select("value", place.alias("place"), F.coalesce("own", F.array().cast("array<string>")).alias("own"))
 
+def classes(rows: DataFrame, *keep: str) -> DataFrame:
+    """One row a way of writing an opening, with its first row. Copies, however many, meet here under partial aggregation, before any join."""
+    return rows.groupBy("place", "title", "name", *keep).agg(F.min("row_id").alias("first"))
 
-def _title_texts(rows: DataFrame) -> DataFrame:
-    """(title, n, word): each distinct title's words, n the rows with the title."""
-    return rows.select(F.coalesce(T.squeeze("title"), F.lit("")).alias("title")).groupBy("title").agg(F.count("*").alias("n")).select("title", "n", F.explode(title_words(F.col("title"))).alias("word")).where("word <> ''")
 
+# ---- the metric
 
-def _block(words: Column) -> Column:
-    kept = F.filter(F.coalesce(words, F.array().cast("array<string>")), lambda w: ~F.array_contains("own", w))
-    return F.concat_ws("|", "place", F.array_join(kept, " "))
+def letters(a: str, b: str) -> Column:
+    """The L1 distance of the letter counts of two text columns; blanks don't count, signs other than a to z count as one letter."""
+    signs = ", ".join(f"'{chr(97 + i)}'" for i in range(26))
+    count = lambda c: f"(length({c}) - length(replace({c}, x, '')))"
+    rest = lambda c: f"length(translate({c}, ' {string.ascii_lowercase}', ''))"
+    return F.expr(f"aggregate(transform(array({signs}), x -> abs({count(a)} - {count(b)})), 0, (s, n) -> s + n) + abs({rest(a)} - {rest(b)})")
 
 
-def openings(rows: DataFrame, ref: DataFrame, boards: DataFrame) -> DataFrame:
-    """(row_id, ord, block, name): the coordinates of each row in the metric space.
+def pivot_distances() -> dict[str, Column]:
+    """t0.. of title and n0.. of name.
 
-    rows: row_id, ord (orders acceptance), employer, board_id, title, location; other columns are ignored. A row without
-    an employer has its board's (boards: board_employers()), else the board stands for it. Null or blank titles have no words; a place that is no entry of ref counts as it is written, a null place as ''. Title words that
-    name the row's own place are left out. Each distinct title and place is worked on once.
+    The distance of a title to the word that holds each letter of a pivot m times is m * (letters of the pivot) + (signs
+    not in the pivot) - (signs in it) for any m that no title reaches; the constant is left out.
     """
-    base = _base(rows)
-    nameless = base.where("name = ''").join(boards, "board_id", "left").withColumn("name", F.coalesce("board_name", F.concat(F.lit("board:"), F.coalesce("board_id", F.lit("")))))
-    base = base.where("name <> ''").drop("board_id").unionByName(nameless.drop("board_id", "board_name"))
-    values, texts = _places(rows, ref), _title_texts(rows)
-    fixes = spelling(texts.groupBy("word").agg(F.sum("n").alias("n")))
-    titles = texts.join(fixes, "word", "left").select("title", F.coalesce("correct", "word").alias("word")).groupBy("title").agg(F.array_sort(F.collect_list("word")).alias("words"))
-    out = base.join(titles, "title", "left").join(values, "value", "left")
-    return out.select("row_id", "ord", _block(F.col("words")).alias("block"), "name")
+    titles = {f"t{i}": F.expr(f"2 * length(translate(title, '{p} ', '')) - length(replace(title, ' ', ''))") for i, p in enumerate(TITLE_PIVOTS)}
+    return titles | {f"n{i}": F.expr(f"levenshtein(name, '{p}')") for i, p in enumerate(NAME_PIVOTS)}
+
+
+PIVOTS = (*(f"t{i}" for i in range(len(TITLE_PIVOTS))), *(f"n{i}" for i in range(len(NAME_PIVOTS))))
+
+
+WIDE = 2 * RADIUS + 1
 
 
-#: What an opening is before anything counted over history (slips, boards' employers) is applied.
-PARTS = ("employer", "board_id", "place", "own", "words")
+def own_cell() -> Column:
+    """The ranges of the keyed pivots a point lies in, as one number."""
+    out = "0L"
+    for p in KEYED:
+        out = f"({out} * 1024 + pmod(floor({p} / {WIDE}), 1024))"
+    return F.expr(out)
 
 
-def parts(rows: DataFrame, ref: DataFrame) -> DataFrame:
-    """(row_id, ord, PARTS): openings() without corrections; board_id only where no employer is named (employer '')."""
-    titles = _title_texts(rows).groupBy("title").agg(F.array_sort(F.collect_list("word")).alias("words"))
-    out = _base(rows).join(titles, "title", "left").join(_places(rows, ref), "value", "left")
-    board = F.when(F.col("name") == "", F.coalesce("board_id", F.lit("")))
-    return out.select("row_id", "ord", F.col("name").alias("employer"), board.alias("board_id"), "place", "own", F.coalesce("words", F.array().cast("array<string>")).alias("words"))
+def near_cells() -> Column:
+    """The cells in which points within RADIUS may lie: every combination of neighbouring ranges."""
+    out = "array(0L)"
+    for i, p in enumerate(KEYED):
+        spans = f"sequence(floor(({p} - {RADIUS}) / {WIDE}), floor(({p} + {RADIUS}) / {WIDE}))"
+        out = f"flatten(transform({out}, c{i} -> transform({spans}, x{i} -> c{i} * 1024 + pmod(x{i}, 1024))))"
+    return F.explode(F.expr(out))
 
 
-def placed(rows: DataFrame, boards: DataFrame, fixes: DataFrame) -> DataFrame:
-    """rows (with PARTS) and their block and name under boards (board_employers()) and fixes (spelling())."""
-    each = rows.select("words").distinct().select("words", F.explode("words").alias("word"))
-    fixed = each.join(fixes, "word", "left").groupBy("words").agg(F.array_sort(F.collect_list(F.coalesce("correct", "word"))).alias("fixed"))
-    out = rows.join(fixed, "words", "left").join(boards, "board_id", "left")
-    name = F.when(F.col("employer") != "", F.col("employer")).otherwise(F.coalesce("board_name", F.concat(F.lit("board:"), "board_id")))
-    return out.select(*rows.columns, _block(F.col("fixed")).alias("block"), name.alias("name"))
+def pivot_table(found: DataFrame) -> DataFrame:
+    """classes() with their pivot distances and the cell they lie in."""
+    return found.withColumns(pivot_distances()).withColumn("cell", own_cell())
 
 
-def pivot_table(points: DataFrame) -> DataFrame:
-    """One row per (block, name) with its first row and the distances d0.. of the name to each pivot.
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("place", "cell"), F.lit(buckets)).cast("int")
 
-    Exact repeats, however many, meet here under partial aggregation, before any join.
+
+def asked(new: DataFrame, buckets: int, employers: DataFrame | None = None) -> DataFrame:
+    """pivot_table() rows, one for each cell in which something within RADIUS may lie, with the partition of that cell.
+
+    An employer that leads boards with nameless rows (employers: leading_employers()) is also asked for under these boards'
+    own names, since it may have become known after such a row was stored.
     """
-    classes = points.groupBy("block", "name").agg(F.min(F.struct("ord", "row_id")).alias("first"))
-    return classes.select("block", "name", "first", *[F.levenshtein(F.col("name"), F.lit(p)).alias(f"d{i}") for i, p in enumerate(PIVOTS)])
+    probes = new.drop("cell")
+    if employers is not None:
+        boards = employers.where("nameless > 0").select(F.col("board_name").alias("name"), unnamed(F.col("board_id")).alias("other"))
+        probes = probes.unionByName(pivot_table(new.join(boards, "name").select("place", "title", F.col("other").alias("name"), "first")).drop("cell"))
+    return probes.withColumn("cell", near_cells()).withColumn("bucket", _bucket(buckets))
 
 
-def links(new: DataFrame, stored: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(block, name, first, to_name, to_first): pairs of pivot-table rows within one edit, the stored one first.
+def links(new: DataFrame, stored: DataFrame, wording: Wording = WORDING, counts: DataFrame | None = None) -> DataFrame:
+    """(item, target, stored): for new classes, the stored or earlier new ones that write the same opening.
 
-    Equal block and overlapping range of the first pivot's distance are the join's keys, so both sides are partitioned
-    by block and range; the triangle inequality on every pivot prunes what meets; the true distance decides.
+    new: asked(); stored: pivot_table() rows with stored (true: accepted before; false: new ones themselves). Place and
+    cell are the join's keys; the triangle inequality on every pivot prunes; the true distance decides; then the words that
+    differ, taken together, must be one edit apart, and with counts (word, n) one side must be rare beside the other, as a
+    slip is, so that two common words one letter apart stay two. Words under four letters are no slips of each other.
     """
-    wide = radius + 1
-    ranges = F.sequence(F.floor((F.col("d0") - radius) / wide), F.floor((F.col("d0") + radius) / wide))
-    a = new.withColumn("span", F.explode(ranges)).alias("a")
-    b = stored.withColumn("span", F.floor(F.col("d0") / wide)).alias("b")
-    on = [F.col("a.block") == F.col("b.block"), F.col("a.span") == F.col("b.span"), F.col("b.first") < F.col("a.first"), F.col("a.name") != F.col("b.name")]
-    on += [F.abs(F.col(f"a.d{i}") - F.col(f"b.d{i}")) <= radius for i in range(len(PIVOTS))]
+    a, b = new.alias("a"), stored.alias("b")
+    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("place", "cell")]
+    on += [F.col("b.stored") | (F.col("b.first") < F.col("a.first"))]
+    on += [F.abs(F.col(f"a.{p}") - F.col(f"b.{p}")) <= RADIUS for p in PIVOTS]
     met = a.join(b, reduce(Column.__and__, on))
-    true = F.levenshtein(F.col("a.name"), F.col("b.name"), radius)
-    return met.where((true >= 0) & T.near(F.col("a.name"), F.col("b.name"))).select("a.block", "a.name", "a.first", F.col("b.name").alias("to_name"), F.col("b.first").alias("to_first"))
+    x, y = F.col("a.name"), F.col("b.name")
+    both = ~F.startswith(x, F.lit("\u0001")) & ~F.startswith(y, F.lit("\u0001"))
+    met = met.where((x == y) | (both & (F.levenshtein(x, y, RADIUS) >= 0) & T.near(x, y)))
+    met = met.where((F.col("a.title") == F.col("b.title")) | (letters("a.title", "b.title") <= RADIUS))
+    words = [F.split(F.col(f"{s}.title"), " ") for s in "ab"]
+    met = met.select(F.col("a.first").alias("item"), F.col("b.first").alias("target"), "b.stored", F.array_except(*words).alias("ours"), F.array_except(*reversed(words)).alias("theirs"))
+    ours, theirs = F.array_join("ours", ""), F.array_join("theirs", "")
+    same = (ours == "") & (theirs == "")
+    short, long = F.least(F.length(ours), F.length(theirs)), F.greatest(F.length(ours), F.length(theirs))
+    met = met.where(same | ((short >= 3) & (long > 3) & T.near(ours, theirs)))
+    if counts is None:
+        return met.select("item", "target", "stored")
+    each = met.select("item", "target", "stored", F.explode_outer(F.concat(*[F.transform(side, lambda w: F.struct(F.lit(i).alias("side"), w.alias("word"))) for i, side in enumerate(("ours", "theirs"))])).alias("w"))
+    each = each.select("item", "target", "stored", "w.side", "w.word").join(counts, "word", "left")
+    rare = each.groupBy("item", "target", "stored").agg(*[F.min(F.when(F.col("side") == i, F.coalesce("n", F.lit(0)))).alias(f"n{i}") for i in (0, 1)])
+    slip = (F.col("n0") >= wording.ratio * F.col("n1")) | (F.col("n1") >= wording.ratio * F.col("n0"))
+    return rare.where(F.coalesce(slip, F.lit(True))).select("item", "target", "stored")
 
 
 def settle(pairs: DataFrame) -> DataFrame:
-    """(block, name, accepted): the classes that repeat an accepted one, in order of acceptance.
+    """(item, accepted): the items of links() that repeat an accepted one, with the first of those. pairs: written already.
 
-    A class is accepted unless it lies near an accepted earlier one. Each round decides every class all of whose earlier
-    neighbours are decided; the rounds are the longest chain of near spellings of one opening, two or three in practice.
-    """
-    key = ["block", "name"]
-    undecided = materialize(pairs, "links")
-    cases = None
-    while not undecided.isEmpty():
-        waiting = undecided.select(*key).distinct()
-        ready = undecided.join(waiting.select("block", F.col("name").alias("to_name"), F.lit(True).alias("waits")), ["block", "to_name"], "left")
-        hit = ready.where("waits is null").groupBy(*key).agg(F.min("to_first").alias("accepted"))
-        hit = materialize(hit, "cases")
-        cases = hit if cases is None else cases.unionByName(hit)
-        rest = undecided.join(hit.select(*key), key, "left_anti")
-        # what a case was near to, is not thereby accepted: links to cases go
-        rest = rest.join(hit.select("block", F.col("name").alias("to_name")), ["block", "to_name"], "left_anti")
-        undecided = materialize(rest.select(*pairs.columns), "links")
-    return cases if cases is not None else pairs.select(*key, F.col("to_first").alias("accepted"))
-
-
-def repeats(points: DataFrame, stored: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(accepted_row_id, incoming_row_id) for each point that repeats a stored class or an earlier point.
-
-    points: openings() of the new rows; stored: the pivot table of all that is accepted. Only classes not stored under
-    the very same spelling go into the range join.
+    What lies near a stored class is a case; what lies near an earlier new one is a case unless that one is a case itself.
+    Links among new classes are settled in rounds, each deciding all items whose earlier neighbours are decided: as many as
+    the longest chain of near spellings within one batch, of which almost all batches have none or one.
     """
-    new = pivot_table(points)
-    same = stored.select("block", "name", F.col("first").alias("held"))
-    new = new.join(same, ["block", "name"], "left")
-    fresh = new.where("held is null").drop("held")
-    known = fresh.unionByName(stored.select(*fresh.columns))
-    cases = settle(links(fresh, known, radius))
-    target = new.join(cases, ["block", "name"], "left").select("block", "name", F.coalesce("held", "accepted", "first").alias("to"))
-    out = points.join(target, ["block", "name"]).where(F.col("to.row_id") != F.col("row_id"))
-    return out.select(F.col("to.row_id").alias("accepted_row_id"), F.col("row_id").alias("incoming_row_id"))
+    cases = pairs.where("stored").groupBy("item").agg(F.min("target").alias("accepted"))
+    open_, done = pairs.where("not stored").select("item", "target"), cases.select("item")
+    while True:
+        open_ = open_.join(done, "item", "left_anti").join(done.withColumnRenamed("item", "target"), "target", "left_anti").select("item", "target")
+        if open_.isEmpty():
+            return cases
+        open_ = materialize(open_, "open")
+        waiting = open_.select(F.col("item").alias("target")).distinct()
+        hit = materialize(open_.join(waiting, "target", "left_anti").groupBy("item").agg(F.min("target").alias("accepted")), "cases")
+        cases, done = cases.unionByName(hit), hit.select("item")
 
 
-def in_order(history: DataFrame | None, incoming: DataFrame | None) -> DataFrame:
-    """The columns openings() reads, history before incoming, each in row_id order."""
-    columns = ("row_id", "employer", "board_id", "title", "location")
-    sides = [side.select(*columns, F.struct(F.lit(i).alias("later"), F.col("row_id").alias("at")).alias("ord")) for i, side in enumerate((history, incoming)) if side is not None]
-    return reduce(DataFrame.unionByName, sides)
+def answered(rows: DataFrame, new: DataFrame, cases: DataFrame) -> DataFrame:
+    """(accepted_row_id, incoming_row_id) of each row that repeats a stored opening or an earlier row. rows: named points; new: their classes."""
+    target = new.join(cases, F.col("first") == F.col("item"), "left").select("place", "title", "name", F.coalesce("accepted", "first").alias("to"))
+    out = rows.select("row_id", "place", "title", "name").join(target, ["place", "title", "name"]).where(F.col("to") != F.col("row_id"))
+    return out.select(F.col("to").alias("accepted_row_id"), F.col("row_id").alias("incoming_row_id")).distinct()
 
 
-def find_repeats(history: DataFrame, incoming: DataFrame, ref: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """All batches against history and each other in one pass: the same rows as batch after batch gives.
-
-    Rows with null in any column take part (see openings()); repeated row_ids count once; an empty side gives no rows.
-    """
-    rows = in_order(history, incoming)
-    points = materialize(openings(rows, ref, board_employers(rows)), "points")
-    stored = materialize(pivot_table(points.where("ord.later = 0")), "pivots")
-    return repeats(points.where("ord.later = 1"), stored, radius)
+# ---- stored history
 
+def word_counts(found: DataFrame) -> DataFrame:
+    """(word, n): in how many classes() each title word stands; copies count once."""
+    return found.select(F.explode(F.array_distinct(F.split("title", " "))).alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
 
-def _distances() -> list[Column]:
-    return [F.levenshtein(F.col("name"), F.lit(p)).alias(f"d{i}") for i, p in enumerate(PIVOTS)]
 
+def employer_counts(rows: DataFrame) -> DataFrame:
+    """(board_id, name, n): the rows of each board by employer, '' counting those that name none. rows: board_of, name."""
+    return rows.where("board_of is not null").groupBy(F.col("board_of").alias("board_id"), "name").agg(F.count("*").alias("n"))
 
-def _append(rows: DataFrame, path: str, mode: str) -> None:
-    """Store accepted rows (with PARTS, block, name) as pivot-table rows, one for each way of writing an opening."""
-    table = rows.groupBy(*PARTS, "block", "name").agg(F.min(F.struct("ord", "row_id")).alias("first")).select(*PARTS, "block", "name", "first", *_distances())
-    table.repartitionByRange("block", "d0").sortWithinPartitions("block", "d0").write.mode(mode).parquet(f"{path}/pivots")
 
+_SCHEMAS = {
+    "pivots": "place string, title string, name string, first long, " + ", ".join(f"{p} int" for p in PIVOTS) + ", cell long, bucket int",
+    "counts": "kind string, key string, value string, n long",
+    "accepted": "row_id long, identity string, external_id string, first_seen timestamp, batch int",
+}
 
-def _word_counts(rows: DataFrame) -> DataFrame:
-    return _title_texts(rows).groupBy("word").agg(F.sum("n").alias("n"))
 
+def _together(*steps: Callable[[], None]) -> None:
+    """Run independent writes side by side; the first error is raised."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for done in [pool.submit(step) for step in steps]:
+            done.result()
 
-def _summed(stored: DataFrame, more: DataFrame, *keys: str) -> DataFrame:
-    return stored.unionByName(more).groupBy(*keys).agg(F.sum("n").alias("n"))
 
+class History:
+    """All that is accepted, in a folder the executors share; batch after batch is checked against it and appended.
 
-def build_history(history: DataFrame, ref: DataFrame, path: str) -> None:
-    """Write the pivot table of history to path, range-partitioned by block and first distance, with what is counted over it.
+    pivots: pivot_table() rows by bucket. counts: title words in classes, and boards' rows by employer, a part a batch.
+    accepted: identity, external_id and first_seen of accepted rows.
+    """
 
-    Beside the pivots lie counts of title words and of boards' employers, one part for each batch, and the words ever corrected.
+    def __init__(self, spark: SparkSession, path: str, buckets: int, batch: int = 0, wording: Wording = WORDING) -> None:
+        self.spark, self.path, self.buckets, self.batch, self.wording = spark, path, buckets, batch, wording
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str, wording: Wording = WORDING) -> History:
+        """A stored history as the last batch left it."""
+        about = spark.read.parquet(f"{path}/about").first()
+        last = spark.read.schema(_SCHEMAS["accepted"]).parquet(f"{path}/accepted").agg(F.max("batch")).first()[0]
+        return cls(spark, path, about["buckets"], last or 0, wording)
+
+    @classmethod
+    def build(cls, history: DataFrame, path: str, wording: Wording = WORDING, per_bucket: int = PER_BUCKET) -> History:
+        """Store history, written points() with board_of, as accepted. Copies within it are one opening, with the least row_id."""
+        spark = history.sparkSession
+        employers = employer_counts(history)
+        new = materialize(pivot_table(classes(named(history, leading_employers(employers)))), "classes")
+        buckets = min(MOST_BUCKETS, max(1, math.ceil(new.count() / per_bucket)))
+        spark.range(1).select(F.lit(buckets).alias("buckets")).write.mode("overwrite").parquet(f"{path}/about")
+        self = cls(spark, path, buckets, 0, wording)
+        self._accept(history, new, employers, new)
+        return self
+
+    def _read(self, name: str) -> DataFrame:
+        return self.spark.read.schema(_SCHEMAS[name]).parquet(f"{self.path}/{name}")
+
+    def _accept(self, rows: DataFrame, new: DataFrame, employers: DataFrame, came: DataFrame) -> None:
+        """Append the accepted classes (new) and rows, and what came as a whole to the counts."""
+        held = new.withColumn("bucket", _bucket(self.buckets)).repartition("bucket").sortWithinPartitions("place", "cell")
+        words = word_counts(came).select(F.lit("word").alias("kind"), F.col("word").alias("key"), F.lit("").alias("value"), "n")
+        counts = words.unionByName(employers.select(F.lit("employer").alias("kind"), F.col("board_id").alias("key"), F.col("name").alias("value"), "n"))
+        told = rows.select("row_id", "identity", "external_id", "first_seen", F.lit(self.batch).alias("batch"))
+        _together(
+            lambda: held.write.mode("append").partitionBy("bucket").parquet(f"{self.path}/pivots"),
+            lambda: counts.write.mode("append").parquet(f"{self.path}/counts"),
+            lambda: told.write.mode("append").parquet(f"{self.path}/accepted"),
+        )
+
+    def _counts(self, kind: str, more: DataFrame, *keys: str) -> DataFrame:
+        columns = [F.col(c).alias(k) for c, k in zip(("key", "value"), keys, strict=False)]
+        return self._read("counts").where(F.col("kind") == kind).select(*columns, "n").unionByName(more).groupBy(*keys).agg(F.sum("n").alias("n"))
+
+    def check(self, batch: DataFrame) -> DataFrame:
+        """(accepted_row_id, incoming_row_id): the batch's repeats of what is accepted or of its own earlier rows; the rest is appended.
+
+        batch: written points() with board_of. Slips and boards' employers are judged by the counts up to this batch; what
+        was accepted before stays accepted. Of the stored table only partitions are read in which the batch's own ranges
+        lie. A batch without rows changes nothing.
+        """
+        self.batch += 1
+        employers = employer_counts(batch)
+        leading = materialize(leading_employers(self._counts("employer", employers, "board_id", "name")), "leading")
+        rows = named(batch, leading)
+        new = materialize(pivot_table(classes(rows)), "classes")
+        looked = asked(new, self.buckets, leading)
+        stored = self._read("pivots")
+        if self.buckets > 1:  # at most MOST_BUCKETS numbers
+            stored = stored.where(F.col("bucket").isin([r[0] for r in looked.select("bucket").distinct().collect()]))
+        kept = stored.drop("bucket").withColumn("stored", F.lit(True)).unionByName(new.withColumn("stored", F.lit(False)))
+        pairs = links(looked, kept, self.wording, self._counts("word", word_counts(new), "word"))
+        cases = settle(materialize(pairs, "pairs"))
+        out = materialize(answered(rows, new, cases), "repeats")
+        accepted = new.join(cases, F.col("first") == F.col("item"), "left_anti")
+        took = batch.join(out.select(F.col("incoming_row_id").alias("row_id")), "row_id", "left_anti")
+        self._accept(took, accepted, employers, new)
+        return out
+
+    def identified(self, batch: DataFrame) -> DataFrame:
+        """(accepted_row_id, incoming_row_id, accepted_first_seen): rows of a checked batch under an identity accepted before, whatever they say now.
+
+        Of several accepted rows of one identity the first counts. Null identities are no identity.
+        """
+        held = self._read("accepted").where((F.col("batch") < self.batch) & F.col("identity").isNotNull())
+        first = held.groupBy("identity").agg(F.min(F.struct("batch", "row_id", "first_seen")).alias("a"))
+        return batch.join(first, "identity").select(F.col("a.row_id").alias("accepted_row_id"), F.col("row_id").alias("incoming_row_id"), F.col("a.first_seen").alias("accepted_first_seen"))
+
+    def described(self, pairs: DataFrame, batch: DataFrame) -> DataFrame:
+        """pairs with accepted_first_seen, and whether identity and external_id are the accepted row's."""
+        a = self._read("accepted").select(F.col("row_id").alias("accepted_row_id"), F.col("identity").alias("_i"), F.col("external_id").alias("_x"), F.col("first_seen").alias("accepted_first_seen"))
+        b = batch.select(F.col("row_id").alias("incoming_row_id"), "identity", "external_id")
+        same = lambda x, y: F.coalesce(F.col(x) == F.col(y), F.lit(False))
+        return pairs.join(a, "accepted_row_id").join(b, "incoming_row_id").select("accepted_row_id", "incoming_row_id", "accepted_first_seen", same("identity", "_i").alias("same_identity"), same("external_id", "_x").alias("same_external_id"))
+
+
+def read_rows(rows: DataFrame, ref: DataFrame, wording: Wording = WORDING, keep: Sequence[str] = ()) -> DataFrame:
+    """points() with board_of, the row's board whether it names an employer or not."""
+    return points(rows.withColumn("board_of", F.col("board_id")), ref, wording, (*keep, "board_of"))
+
+
+def by_batch(history: DataFrame, incoming: DataFrame, ref: DataFrame, wording: Wording = WORDING, path: str | None = None, per_bucket: int = PER_BUCKET) -> tuple[History, list[tuple[DataFrame, DataFrame]]]:
+    """history stored once, then batch after batch (batch_no, null last) checked and appended: (the history, [(batch, repeats)]).
+
+    What a row says does not depend on what is accepted, so the rows of all batches are read in one pass beforehand.
     """
-    rows = in_order(history, None)
-    words, boards = materialize(_word_counts(rows), "words"), materialize(board_counts(rows), "boards")
-    fixes = materialize(spelling(words), "fixes")
-    _append(placed(parts(rows, ref), leading_employers(boards), fixes), path, "overwrite")
-    for name, table in (("words", words), ("board_counts", boards), ("corrected", fixes.select("word"))):
-        table.write.mode("overwrite").parquet(f"{path}/{name}")
+    spark = history.sparkSession
+    path = path or f"{scratch_dir(spark)}/history-{uuid.uuid4().hex}"
+    kept = History.build(materialize(read_rows(history, ref, wording), "points"), path, wording, per_bucket)
+    rows = materialize(read_rows(incoming, ref, wording, ("batch_no",)), "points")
+    numbers = sorted((r[0] for r in rows.select("batch_no").distinct().collect()), key=lambda n: (n is None, n))  # one a batch
+    batches = [rows.where(F.col("batch_no").eqNullSafe(F.lit(n))) for n in numbers]
+    return kept, [(batch, kept.check(batch)) for batch in batches]
 
 
-def restated(pivots: DataFrame, boards: DataFrame, fixes: DataFrame, corrected: DataFrame) -> DataFrame:
-    """(block, name, first, d0..): the stored pivot table as today's counts have it.
+def find_repeats(history: DataFrame, incoming: DataFrame, ref: DataFrame, wording: Wording = WORDING) -> DataFrame:
+    """(accepted_row_id, incoming_row_id) of every incoming row that repeats an accepted opening, batch after batch.
 
-    Counts move a stored row only where it names no employer or has a word that is or was corrected; only these are
-    placed anew. Rows that thereby become one opening have its first row.
+    Rows with null in any column take part (see points()); repeated row_ids count once; an empty side gives no rows.
     """
-    changing = fixes.select("word").unionByName(corrected).distinct()
-    moved = pivots.select("words").distinct().select("words", F.explode("words").alias("word")).join(changing, "word", "left_semi").select("words").distinct()
-    moved = materialize(moved.withColumn("moved", F.lit(True)), "moved")
-    told = pivots.join(moved, "words", "left")
-    still = F.col("moved").isNull() & (F.col("employer") != "")
-    distances = [f"d{i}" for i in range(len(PIVOTS))]
-    anew = placed(told.where(~still).select(*PARTS, "first"), boards, fixes).select("block", "name", "first", *_distances())
-    every = told.where(still).select("block", "name", "first", *distances).unionByName(materialize(anew, "anew"))
-    return every.groupBy("block", "name").agg(F.min("first").alias("first"), *[F.min(d).alias(d) for d in distances])
-
-
-def check_batch(spark: SparkSession, path: str, batch: DataFrame, ref: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The batch's repeats of what path holds or of its own earlier rows; what is accepted is appended to path.
-
-    Slips and boards' employers are judged by the counts of history and all batches up to this one. History is read as
-    the narrow pivot table, whose files carry block ranges; no row of history is worked on again.
+    found = by_batch(history, incoming, ref, wording)[1]
+    none = incoming.sparkSession.createDataFrame([], "accepted_row_id long, incoming_row_id long")
+    return reduce(DataFrame.unionByName, [pairs for _, pairs in found], none)
+
+
+def check_report(history: DataFrame, incoming: DataFrame, ref: DataFrame, wording: Wording = WORDING) -> DataFrame:
+    """(batch_no, link, accepted_row_id, incoming_row_id, accepted_first_seen, same_identity, same_external_id).
+
+    link: 'opening' for find_repeats(); 'identity' for rows under an accepted identity that say another opening.
     """
-    rows = in_order(None, batch)
-    more_words, more_boards = materialize(_word_counts(rows), "words"), materialize(board_counts(rows), "boards")
-    boards = materialize(leading_employers(_summed(spark.read.parquet(f"{path}/board_counts"), more_boards, "board_id", "name")), "employers")
-    fixes = materialize(spelling(_summed(spark.read.parquet(f"{path}/words"), more_words, "word")), "fixes")
-    corrected = spark.read.parquet(f"{path}/corrected")
-    points = materialize(placed(parts(rows, ref), boards, fixes), "points")
-    stored = restated(spark.read.parquet(f"{path}/pivots"), boards, fixes, corrected)
-    found = materialize(repeats(points.select("row_id", "ord", "block", "name"), stored, radius), "repeats")
-    fresh = points.join(found.select(F.col("incoming_row_id").alias("row_id")), "row_id", "left_anti")
-    # a repeat under a new spelling is not accepted, but its accepted opening is already stored
-    fresh = materialize(fresh.join(stored.select("block", "name"), ["block", "name"], "left_anti"), "fresh")
-    newly = materialize(fixes.select("word").join(corrected, "word", "left_anti"), "corrected")
-    _append(fresh, path, "append")
-    for name, table in (("words", more_words), ("board_counts", more_boards), ("corrected", newly)):
-        table.write.mode("append").parquet(f"{path}/{name}")
-    return found
-
-
-def find_by_batch(history: DataFrame, incoming: DataFrame, ref: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(accepted_row_id, incoming_row_id): history stored once, then batch after batch (batch_no) checked and appended."""
     spark = history.sparkSession
     path = f"{scratch_dir(spark)}/history-{uuid.uuid4().hex}"
-    build_history(history, ref, path)
-    numbers = sorted(r[0] for r in incoming.select("batch_no").distinct().collect())
-    found = [check_batch(spark, path, incoming.where(F.col("batch_no") == n), ref, radius) for n in numbers]
-    return reduce(DataFrame.unionByName, found) if found else find_repeats(history, incoming, ref, radius)
+    kept, found = by_batch(history, incoming, ref, wording, path)
+    out = []
+    for n, (batch, pairs) in enumerate(found, 1):
+        told = kept.described(pairs, batch).select(F.lit("opening").alias("link"), "*")
+        other = History(spark, path, kept.buckets, n, wording).identified(batch).join(pairs.select("incoming_row_id"), "incoming_row_id", "left_anti")
+        told = told.unionByName(other.select(F.lit("identity").alias("link"), "accepted_row_id", "incoming_row_id", "accepted_first_seen", F.lit(True).alias("same_identity"), F.lit(True).alias("same_external_id")))
+        out.append(told.join(batch.select(F.col("row_id").alias("incoming_row_id"), "batch_no"), "incoming_row_id"))
+    return reduce(DataFrame.unionByName, out).select("batch_no", "link", "accepted_row_id", "incoming_row_id", "accepted_first_seen", "same_identity", "same_external_id")
+
+
+def in_one_pass(history: DataFrame, incoming: DataFrame, ref: DataFrame, wording: Wording = WORDING) -> DataFrame:
+    """find_repeats() with all incoming rows as one batch and nothing stored: every slip and board is judged by the counts of all rows."""
+    sides = [read_rows(side, ref, wording) for side in (history, incoming)]
+    employers = leading_employers(employer_counts(sides[0].unionByName(sides[1])))
+    old, rows = (named(side, employers) for side in sides)
+    rows = materialize(rows, "rows")
+    stored, new = materialize(pivot_table(classes(old)), "stored"), materialize(pivot_table(classes(rows)), "classes")
+    counts = word_counts(stored.select("title").unionByName(new.select("title")))
+    kept = stored.withColumn("stored", F.lit(True)).unionByName(new.withColumn("stored", F.lit(False)))
+    return answered(rows, new, settle(materialize(links(asked(new, 1, employers), kept, wording, counts), "pairs")))

@@ -17,12 +17,13 @@ def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """History stored as a pivot table, then the batches checked and appended one after another."""
     return history_dedup.find_repeats(_table(spark, d, "job_rows"), _table(spark, d, "incoming_rows"), _table(spark, d, "places_ref"))
 
 
 def p1_batches(spark: SparkSession, d: str) -> DataFrame:
-    """p1_found by way of the stored history: each batch is checked with what is known by then and appended."""
-    return history_dedup.find_by_batch(_table(spark, d, "job_rows"), _table(spark, d, "incoming_rows"), _table(spark, d, "places_ref"))
+    """Every repeat with the accepted row's first_seen and whether identity and external_id agree, and known identities that say another opening."""
+    return history_dedup.check_report(_table(spark, d, "job_rows"), _table(spark, d, "incoming_rows"), _table(spark, d, "places_ref"))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

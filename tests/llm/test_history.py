@@ -1,11 +1,22 @@
+import datetime
+import random
+from collections import Counter
+
 from feedloom.llm import history_dedup as H
 from tests.llm.test_places import REF, SCHEMA
+from tests.test_text import edits
+
+ROW = "row_id long, identity string, external_id string, first_seen timestamp, employer string, board_id string, title string, location string, batch_no int, place string, name string, bucket string"
+NAMES = ("Amber", "Birchwood", "Cobalt", "Dune", "Ember", "Fjord", "Glacier", "Harbor", "Island", "Jungle")
+DAY = datetime.datetime(2026, 1, 1)
+
 
-ROW = "row_id long, employer string, board_id string, title string, location string, block string, name string"
+def rows(spark, *values, batch=1):
+    return spark.createDataFrame([(i, f"s:{i}", str(i), DAY, *rest, batch, "clash", "clash", "clash") for i, *rest in values], ROW)
 
 
-def rows(spark, *values):
-    return spark.createDataFrame([(*v, "clash", "clash") for v in values], ROW)
+def pairs(df):
+    return {tuple(r) for r in df.collect()}
 
 
 HISTORY = [
@@ -30,21 +41,24 @@ EXPECTED = {(1, 101), (1, 102), (3, 106), (4, 107), (103, 108), (103, 109)}
 def test_repeats(spark):
     ref = spark.createDataFrame(REF, SCHEMA)
     history, incoming = rows(spark, *HISTORY), rows(spark, *INCOMING)
-    assert {tuple(r) for r in H.find_repeats(history, incoming, ref).collect()} == EXPECTED
-    assert {tuple(r) for r in H.find_repeats(history.limit(0), incoming, ref).collect()} >= {(103, 108), (103, 109), (101, 102)}
+    assert pairs(H.find_repeats(history, incoming, ref)) == EXPECTED
+    assert pairs(H.in_one_pass(history, incoming, ref)) == EXPECTED
+    assert pairs(H.find_repeats(history.limit(0), incoming, ref)) >= {(103, 108), (103, 109), (101, 102)}
     assert H.find_repeats(history, incoming.limit(0), ref).count() == 0
 
 
-def test_batches_give_the_same(spark, tmp_path):
+def test_batches_over_many_partitions_give_the_same(spark, tmp_path):
     ref = spark.createDataFrame(REF, SCHEMA)
-    path = str(tmp_path / "history")
-    H.build_history(rows(spark, *HISTORY), ref, path)
-    got = set()
-    for batch in (INCOMING[:3], INCOMING[3:8], INCOMING[8:]):
-        got |= {tuple(r) for r in H.check_batch(spark, path, rows(spark, *batch), ref).collect()}
-    assert got == EXPECTED
-    again = [(i + 1000, *rest) for i, *rest in INCOMING]
-    assert H.check_batch(spark, path, rows(spark, *again), ref).count() == len(INCOMING)  # all are known by now
+    parts = [rows(spark, *INCOMING[a:b], batch=n) for n, (a, b) in enumerate(((0, 3), (3, 8), (8, None)))]
+    incoming = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    kept, found = H.by_batch(rows(spark, *HISTORY), incoming, ref, path=str(tmp_path / "h"), per_bucket=1)
+    assert kept.buckets == len(HISTORY) and set().union(*(pairs(f) for _, f in found)) == EXPECTED
+    again = rows(spark, *[(i + 1000, *rest) for i, *rest in INCOMING])
+    opened = H.History.open(spark, str(tmp_path / "h"))
+    assert opened.batch == 3
+    from feedloom.session import materialize
+
+    assert opened.check(materialize(H.read_rows(again, ref))).count() == len(INCOMING)  # all are known by now
 
 
 def test_many_copies_are_one_class(spark):
@@ -55,35 +69,57 @@ def test_many_copies_are_one_class(spark):
 
 
 def test_links_equal_brute_force(spark):
-    """Pivots and ranges lose no pair within one edit."""
-    import random
+    """Cells and pivots lose no pair that the words and names make one."""
+    random.seed(3)
+    words = ["".join(random.choices("abcde", k=random.randint(4, 9))) for _ in range(40)]
+    slip = lambda w, i: w[:i] + random.choice("abcde") + w[i + random.randint(0, 1) :]
+    points = set()
+    for _ in range(60):
+        title, name = random.sample(words, 3), random.choice(words)
+        points |= {(" ".join(title), name), (" ".join(reversed(title)), slip(name, 1)), (" ".join([slip(title[0], 2), *title[1:]]), name), (f"{title[0][:2]} {title[0][2:]} {title[1]} {title[2]}", name)}
+    points = sorted(points)
+    table = H.pivot_table(spark.createDataFrame([("p", t, n, i) for i, (t, n) in enumerate(points)], "place string, title string, name string, first long")).withColumn("stored", H.F.lit(False))
+    got = {(r["target"], r["item"]) for r in H.links(H.asked(table.drop("stored"), 7), table).collect()}
+
+    def alike(a, b):
+        (t, n), (u, m) = a, b
+        ours, theirs = ("".join(dict.fromkeys(w for w in x.split() if w not in y.split())) for x, y in ((t, u), (u, t)))
+        bags = Counter(t.replace(" ", "")), Counter(u.replace(" ", ""))
+        if sum(((bags[0] - bags[1]) + (bags[1] - bags[0])).values()) > 2 or edits(n, m) > 1:
+            return False
+        return ours == theirs == "" or (min(len(ours), len(theirs)) >= 3 and max(len(ours), len(theirs)) > 3 and edits(ours, theirs) <= 1)
+
+    assert got == {(i, j) for j in range(len(points)) for i in range(j) if alike(points[i], points[j])}
+    assert len(got) > 100
+
+
+def test_common_words_one_letter_apart_stay_two(spark):
+    ref = spark.createDataFrame(REF, SCHEMA)
+    history = [(i, name, f"h:{i}", ("Staff", "Stuff")[i % 2] + " Planner", "Yaslobia") for i, name in enumerate(NAMES)]
+    incoming = [(101, "Birchwood", "h:1", "Staff Planner", "Yaslobia"), (102, "Birchwood", "h:1", "Stuff Planer", "Yaslobia")]
+    assert pairs(H.find_repeats(rows(spark, *history), rows(spark, *incoming), ref)) == {(1, 102)}
 
-    from tests.test_text import edits
 
-    random.seed(3)
-    base = ["".join(random.choices("abcde", k=random.randint(3, 18))) for _ in range(60)]
-    names = sorted({*base, *(b[:i] + random.choice("abcde") + b[i + random.randint(0, 1) :] for b in base for i in (1, 2))})
-    points = spark.createDataFrame([(i, (0, i), "b", n) for i, n in enumerate(names)], "row_id long, ord struct<later:int,at:long>, block string, name string")
-    table = H.pivot_table(points)
-    got = {(r["to_name"], r["name"]) for r in H.links(table, table).collect()}
-    assert got == {(a, b) for i, a in enumerate(names) for b in names[i + 1 :] if edits(a, b) <= 1}
+def test_boards_stand_for_unknown_employers(spark):
+    """Two boards one letter apart are two employers; a board's employer that becomes known claims its nameless openings."""
+    ref = spark.createDataFrame(REF, SCHEMA)
+    history = [(11, None, "lever:acme1", "Query Writer", "Yaslobia"), (12, None, "n:1", "Editor", "Yaslobia")]
+    first = rows(spark, (101, None, "lever:acme2", "Query Writer", "Yaslobia"), (102, None, "lever:acme1", "Query Writer", "Yaslobia"), (103, "Boardly", "n:1", "Writer", "Yaslobia"), batch=1)
+    then = rows(spark, (201, "Boardly", "n:2", "Editor", "Yaslobia"), (202, None, "n:1", "Editor", "Yaslobia"), batch=2)
+    assert pairs(H.find_repeats(rows(spark, *history), first.unionByName(then), ref)) == {(11, 102), (12, 201), (12, 202)}
 
 
-def test_spelling(spark):
-    counts = spark.createDataFrame([("foundations", 90), ("foundatoins", 2), ("lead", 50), ("led", 1), ("staff", 40), ("stuff", 39), ("xy", 1)], "word string, n long")
-    assert {tuple(r) for r in H.spelling(counts).collect()} == {("foundatoins", "foundations"), ("led", "lead")}
+def test_slips_are_judged_by_all_counts(spark):
+    """'content' is frequent in history alone; a batch of one row can't know it. A blank too many costs nothing."""
+    ref = spark.createDataFrame(REF, SCHEMA)
+    history = [(i, name, f"h:{i}", "Content Planner", "Yaslobia") for i, name in enumerate(NAMES)]
+    incoming = rows(spark, (101, "Cobalt", "y:1", "Cotent Planner", "Yaslobia"), (102, "Dune", "y:1", "Con tent Planner", "Yaslobia"))
+    assert pairs(H.find_repeats(rows(spark, *history), incoming, ref)) == {(2, 101), (3, 102)}
 
 
-def test_batches_are_corrected_by_all_counts(spark, tmp_path):
-    """Slips and boards' employers are judged by history and the batches so far, and stored rows follow the counts."""
+def test_report(spark):
+    """Identities accepted before come out beside the openings, whatever they say now."""
     ref = spark.createDataFrame(REF, SCHEMA)
-    path = str(tmp_path / "history")
-    history = [(i, f"Employer {chr(96 + i)}", f"h:{i}", "Content Planner", "Yaslobia") for i in range(1, 11)] + [(11, "Solo", "h:11", "Qeury Writer", "Yaslobia"), (12, None, "n:1", "Editor", "Yaslobia")]
-    H.build_history(rows(spark, *history), ref, path)
-    check = lambda *batch: {tuple(r) for r in H.check_batch(spark, path, rows(spark, *batch), ref).collect()}
-    assert check((101, "Employer c", "y:1", "Cotent Planner", "Yaslobia")) == {(3, 101)}  # 'content' is frequent in history alone
-    assert check(*[(200 + i, name, f"z:{i}", "Query Writer", "Yaslobia") for i, name in enumerate(("Amber", "Birch", "Cobalt", "Dune", "Ember Works", "Fjord"))]) == set()
-    assert check((301, "Solo", "z:9", "Query Writer", "Yaslobia")) == {(11, 301)}  # the stored slip is known as one by now
-    assert check((401, "Boardly", "n:1", "Writer", "Yaslobia")) == set()
-    assert check((501, "Boardly", "n:2", "Editor", "Yaslobia")) == {(12, 501)}  # the board's employer became known
-    assert check((601, "Solo", "z:9", "Qeury Writer", "Yaslobia"), (602, None, "n:1", "Editor", "Yaslobia")) == {(11, 601), (12, 602)}
+    incoming = rows(spark, *INCOMING[:3]).withColumn("identity", H.F.expr("CASE row_id WHEN 101 THEN 's:1' WHEN 103 THEN 's:2' END"))
+    got = {(r["link"], r["accepted_row_id"], r["incoming_row_id"], r["same_identity"], r["accepted_first_seen"]) for r in H.check_report(rows(spark, *HISTORY), incoming, ref).collect()}
+    assert got == {("opening", 1, 101, True, DAY), ("opening", 1, 102, False, DAY), ("identity", 2, 103, True, DAY)}
