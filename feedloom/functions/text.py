@@ -70,3 +70,26 @@ def strip_location_suffix(title: Column, location: Column) -> Column:
     tail = F.concat(F.lit(" - "), F.trim(location))
     cut = F.trim(F.substring(title, F.lit(1), F.length(title) - F.length(tail)))
     return F.when((F.trim(location) != "") & F.endswith(title, tail), cut).otherwise(title)
+
+
+#: Named title normalisers, (title, location) -> title, by which a board's configuration says how its titles are read.
+NORMALISERS = {"strip_location": strip_location_suffix}
+
+
+def register_normaliser(name: str, build) -> None:
+    """Make a normaliser known by name; a name taken twice is refused."""
+    if name in NORMALISERS:
+        raise ValueError(f"normaliser {name!r} is registered already")
+    NORMALISERS[name] = build
+
+
+def unknown_normalisers(names: Column) -> Column:
+    """Those of names that nothing is registered under; a configuration that has any is refused."""
+    return F.filter(names, lambda n: ~n.isin(*NORMALISERS))
+
+
+def normalised(title: Column, location: Column, names: Column) -> Column:
+    """title after each registered normaliser that names holds, in the order of registration. Null names change nothing."""
+    for name, build in NORMALISERS.items():
+        title = F.when(F.coalesce(F.array_contains(names, F.lit(name)), F.lit(False)), build(title, location)).otherwise(title)
+    return title

@@ -71,6 +71,26 @@ def all_terms(text: Column, terms: Sequence[str]) -> Column:
     return F.array_compact(F.array(*[F.when(F.rlike(text, F.lit(term_pattern(t))), F.lit(t)) for t in terms]))
 
 
+def reason(rule_name: Column, detail: Column, words: dict[str, str]) -> Column:
+    """A drop in words: the text of its rule with the detail in place of %s; null for a rule without text."""
+    said = F.when(F.lit(False), F.lit(None).cast("string"))
+    for name, text in words.items():
+        said = said.when(rule_name == name, F.format_string(text, detail))
+    return said
+
+
+def family_of(term: Column, families: dict[str, str]) -> Column:
+    """The family of a term; null for terms of none."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in families.items() for x in kv]), term)
+
+
+def named_places(phrases: Column, names: dict[str, str]) -> Column:
+    """The configured names of phrases, each once, in the order of configuration; unknown phrases give none."""
+    table = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
+    got = F.transform(F.coalesce(phrases, F.array().cast("array<string>")), lambda p: F.try_element_at(table, F.lower(F.trim(p))))
+    return F.filter(F.array(*[F.lit(n) for n in dict.fromkeys(names.values())]), lambda n: F.coalesce(F.array_contains(got, n), F.lit(False)))
+
+
 @register_rule("expiry")
 def expiry(now: str) -> Rule:
     """Rows whose expires_at, as text, is before now; empty and null ones stay."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import json
 from collections.abc import Sequence
 
@@ -26,9 +27,24 @@ def routed(df: DataFrame, source: str, public: Sequence[str]) -> DataFrame:
     return df.withColumn("source_class", F.when(F.col(source).isin(*public), "public").otherwise("private"))
 
 
+def layer_path(source_class: Column, layer: str, source: Column, board: Column) -> Column:
+    """Where a layer file lies under a root: class, layer, source, board; signs that a path can't hold are percent-encoded."""
+    safe = lambda c: F.replace(F.url_encode(c), F.lit("+"), F.lit("%20"))
+    return F.concat_ws("/", source_class, F.lit(layer), safe(source), safe(board))
+
+
+def _coded(secret: str) -> set[str]:
+    """base64 of a secret wherever it starts in a longer text: whole, and what is fixed of it behind one and two other bytes."""
+    raw = secret.encode()
+    whole = base64.b64encode(raw).decode()
+    inner = (base64.b64encode(b" " * k + raw).decode().rstrip("=")[k + 1 : -1] for k in (1, 2))
+    return {whole, whole.rstrip("=")} | {x for x in inner if len(x) >= 8}
+
+
 def redact(c: Column, secrets: Sequence[str], shown: str = "***") -> Column:
-    """c without any of secrets, longest first."""
-    for secret in sorted(filter(None, secrets), key=len, reverse=True):
+    """c without any of secrets, plain or in base64, longest first."""
+    known = {s for secret in secrets if secret for s in (secret, *_coded(secret))}
+    for secret in sorted(known, key=len, reverse=True):
         c = F.replace(c, F.lit(secret), F.lit(shown))
     return c
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from feedloom.operators.runlog import covered
+
 
 def high_water(seen: DataFrame, saved: Column) -> DataFrame:
     """(board_id, high_water_us, n_saved): the latest publication among the saved entries of each board."""
@@ -29,6 +31,22 @@ def nth_absence(last_seen: DataFrame, runs: DataFrame, n: int) -> DataFrame:
     return last_seen.join(times, "board_id", "left").select("identity", F.get(later, F.lit(n - 1)).alias("closed_at"))
 
 
+def closed(postings: DataFrame, polled: DataFrame, n: int, now: str) -> DataFrame:
+    """(identity, closed_on): the day a posting closed; null while it is open.
+
+    By expiry where expires_at, as text, is at or before now; else by the n-th run after last_seen that would have met
+    it: ok, with anything fetched, and walked to the end or past its date. Runs that don't qualify are passed over.
+    postings: identity, board_id, published_at, last_seen, expires_at; polled: run_at, board_id, status, fetched,
+    stopped_by, mark. A board's qualifying runs are one array, so a posting reads one row.
+    """
+    good = polled.where("status = 'ok' and fetched > 0")
+    per_board = good.groupBy("board_id").agg(F.array_sort(F.collect_list(F.struct("run_at", "stopped_by", "mark"))).alias("runs"))
+    met = F.filter("runs", lambda r: (r["run_at"] > F.col("last_seen")) & covered(r["stopped_by"], r["mark"], F.col("published_at")))
+    absent = F.get(met, F.lit(n - 1))["run_at"]
+    day = F.when(F.col("expires_at") <= now, F.substring("expires_at", 1, 10)).otherwise(F.date_format(absent, "yyyy-MM-dd"))
+    return postings.join(per_board, "board_id", "left").select("identity", day.alias("closed_on"))
+
+
 def trailing_streak(runs: DataFrame, key: str, when: str, ok: Column) -> DataFrame:
     """(key, streak, since): runs since the last that was ok, counted back from the newest; since is the first of them."""
     last_ok = runs.groupBy(key).agg(F.max(F.when(ok, F.col(when))).alias("_ok"))

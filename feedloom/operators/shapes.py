@@ -84,6 +84,40 @@ def compare(old: DataFrame, new: DataFrame, *by: str) -> DataFrame:
     return both.where(was != is_).select(*by, "path", was.alias("was_shape"), is_.alias("is_shape"))
 
 
+def strict_time(c: Column) -> Column:
+    """A UTC time written in twenty characters as 2026-01-31T23:59:59Z; null for any other text or a time that doesn't exist."""
+    return F.when(F.rlike(c, F.lit(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$")), F.try_to_timestamp(c))
+
+
+def accepted_at(c: Column) -> Column:
+    """When a stored shape was accepted: a bare day means its last second, so that nothing of that day comes after it."""
+    return F.when(F.rlike(c, F.lit(r"^\d{4}-\d{2}-\d{2}$")), F.try_to_timestamp(F.concat(c, F.lit("T23:59:59Z")))).otherwise(F.try_to_timestamp(c))
+
+
+def statuses(platforms: DataFrame, old: DataFrame, new: DataFrame, failures: DataFrame, accepted: DataFrame) -> DataFrame:
+    """(platform, status, changes) of a check, each platform on its own.
+
+    A status of failures (platform, status: unreachable, check failed) stands, and its stored shapes with it; without
+    stored shapes it is 'baseline'; without differences 'unchanged'; 're-baselined' where accepted (platform, section,
+    path) holds every one of them; else 'changed'. old, new: platform, section, path, shape.
+    """
+    where = ["platform", "section", "path"]
+    both = old.withColumnRenamed("shape", "was").join(new.withColumnRenamed("shape", "now"), where, "full").where(~F.col("was").eqNullSafe(F.col("now")))
+    ours = accepted.select(*where).distinct().withColumn("ours", F.lit(True))
+    counted = both.join(ours, where, "left").groupBy("platform").agg(F.count("*").alias("n"), F.count("ours").alias("ours"))
+    known = old.select("platform").distinct().withColumn("known", F.lit(True))
+    told = platforms.join(failures.withColumnRenamed("status", "failed"), "platform", "left").join(known, "platform", "left").join(counted, "platform", "left")
+    status = F.when(F.col("failed").isNotNull(), F.col("failed")).when(F.col("known").isNull(), "baseline").when(F.col("n").isNull(), "unchanged").when(F.col("n") == F.col("ours"), "re-baselined").otherwise("changed")
+    compared = F.col("failed").isNull() & F.col("known").isNotNull()
+    return told.select("platform", status.alias("status"), F.when(compared, F.coalesce("n", F.lit(0))).otherwise(0).alias("changes"))
+
+
+def kept_sections(old: DataFrame, new: DataFrame, checked: DataFrame) -> DataFrame:
+    """The shapes to store: new ones, and for each checked platform the old ones of sections of which the check saw nothing."""
+    seen = new.select("platform", "section").distinct()
+    return new.unionByName(old.join(checked.select("platform"), "platform", "left_semi").join(seen, ["platform", "section"], "left_anti").select(*new.columns))
+
+
 def explained(changes: DataFrame, accepted: DataFrame, key: str, at: Column) -> DataFrame:
     """changes with cause: of the first accepted change (by position) of the key and path that was made before at; null for none.
 

@@ -119,6 +119,12 @@ def in_several(stores: dict[str, DataFrame], key: str) -> DataFrame:
     return every.where(F.col(key).isNotNull()).groupBy(key).agg(F.array_join(F.array_sort(F.collect_set("store")), ",").alias("stores")).where(F.contains("stores", F.lit(",")))
 
 
+def map_merge(older: Column, newer: Column) -> Column:
+    """Both maps as one; newer's value wins where a key is in both."""
+    kept = F.map_filter(older, lambda k, v: ~F.map_contains_key(newer, k))
+    return F.map_concat(kept, newer)
+
+
 def outbox(events: DataFrame, sent: DataFrame, key: str, when: str, since: Column) -> DataFrame:
     """Events to send: not sent, from since on or of unreadable time, one a key (the first in time)."""
     fresh = events.where(F.coalesce(F.col(when) >= since, F.lit(True))).join(sent.select(key).distinct(), key, "left_anti")

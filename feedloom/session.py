@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -31,12 +34,31 @@ def local_session(cores: int = 8, app: str = "feedloom", memory: str = "8g", par
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder all executors share. It is the session's spark.checkpoint.dir; a local one is made only where that is unset."""
+    """This session's own folder within the one all executors share, the session's spark.checkpoint.dir.
+
+    Only a local master, as in tests, may leave that unset: a folder of this machine is made then. On a cluster, where
+    executors could not read it, RuntimeError is raised.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set: with master {master!r} a folder that all executors share is needed")
         folder = "file://" + tempfile.mkdtemp(prefix="feedloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+        atexit.register(shutil.rmtree, folder.removeprefix("file://"), ignore_errors=True)
+    return f"{folder.rstrip('/')}/feedloom-{spark.conf.get('spark.app.id', 'session')}"
+
+
+def clean(spark: SparkSession) -> bool:
+    """Remove what this session wrote to the shared folder; results that were not written elsewhere can't be read afterwards."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder."""
+    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
@@ -46,6 +68,6 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     survives the loss of an executor, is columnar, and later reads prune columns and push filters into it.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -90,3 +90,34 @@ def boards_due(boards: DataFrame, slot: str) -> DataFrame:
     has = lambda c: F.coalesce(F.array_contains(c, F.lit(slot)), F.lit(False))
     free = F.coalesce(F.size("poll_slots"), F.lit(0)) <= 0
     return boards.where(free | has("poll_slots")).withColumn("deep", has("deep_slots"))
+
+
+def without_alias(boards: DataFrame) -> DataFrame:
+    """(board_id): boards that name no employer to fall back on."""
+    from pyspark.sql import functions as F
+
+    named = F.max(F.nullif(F.trim("employer_alias"), F.lit("")))
+    return boards.groupBy("board_id").agg(named.alias("_alias")).where("_alias is null").select("board_id")
+
+
+def load_env(path: str) -> dict[str, str]:
+    """The NAME=value lines of a file: blank lines and # comments left out, 'export ' and matching quotes taken off; ConfigError for any other line."""
+    out, faults = {}, []
+    for number, line in enumerate(Path(path).read_text().splitlines(), 1):
+        bare = line.strip().removeprefix("export ").strip()
+        if not bare or bare.startswith("#"):
+            continue
+        name, sign, value = bare.partition("=")
+        if not sign or not name.strip().isidentifier():
+            faults.append(f"line {number}: no NAME=value")
+            continue
+        value = value.strip()
+        out[name.strip()] = value[1:-1] if len(value) > 1 and value[0] == value[-1] and value[0] in "'\"" else value
+    if faults:
+        raise ConfigError("\n".join(faults))
+    return out
+
+
+def missing_names(env: dict[str, str], needed: Sequence[str]) -> list[str]:
+    """Those of needed that env lacks or leaves blank."""
+    return [name for name in needed if not env.get(name, "").strip()]

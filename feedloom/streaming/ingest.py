@@ -3,12 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, types
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from feedloom.operators.stores import append_delta
 from feedloom.session import scratch_dir
@@ -29,21 +26,13 @@ def start_delta_append(stream: DataFrame, target: str, key: str, checkpoint: str
 
 
 def first_and_last_seen(stream: DataFrame, key: str, at: str) -> DataFrame:
-    """(key, first_seen, last_seen, times) after each micro-batch that holds the key: custom keyed state, first_seen never moves."""
+    """(key, first_seen, last_seen, times) after each micro-batch that holds the key: keyed state, first_seen never moves. All of it stays in the JVM."""
+    return stream.groupBy(key).agg(F.min(at).alias("first_seen"), F.max(at).alias("last_seen"), F.count("*").alias("times"))
 
-    def update(ids: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        low, high, n = state.get if state.exists else (None, None, 0)
-        for batch in batches:
-            times = batch[at].dropna()
-            n += len(batch)
-            if len(times):
-                first, last = times.min().to_pydatetime(), times.max().to_pydatetime()
-                low, high = (first if low is None else min(low, first)), (last if high is None else max(high, last))
-        state.update((low, high, n))
-        yield pd.DataFrame({key: [ids[0]], "first_seen": [low], "last_seen": [high], "times": [n]})
 
-    kind = dict(stream.dtypes)[key]
-    return stream.groupBy(key).applyInPandasWithState(update, f"{key} {kind}, first_seen timestamp, last_seen timestamp, times long", "low timestamp, high timestamp, n long", "update", GroupStateTimeout.NoTimeout)
+def absence_state(stream: DataFrame, key: str, run: str) -> DataFrame:
+    """(key, last_seen_run) after each micro-batch that holds the key; with the newest run of all, its absences."""
+    return stream.groupBy(key).agg(F.max(run).alias("last_seen_run"))
 
 
 def late_split(stream: DataFrame, first: str, dated: str, days: int) -> DataFrame:
@@ -96,3 +85,34 @@ def distinct_counts(df: DataFrame, key: str, by: str) -> DataFrame:
     """(by, n) of df as a stream, each key counted once however often it is delivered."""
     updates = _collected(as_stream(df, "stream").dropDuplicates([key, by]).groupBy(by).agg(F.count("*").alias("n")), "update")
     return updates.groupBy(by).agg(F.max_by("n", "batch").alias("n"))
+
+
+def absences(df: DataFrame, key: str, run: str) -> DataFrame:
+    """(key, last_seen_run, absences) after df has run as a stream: the runs since the key was last delivered. Runs are numbered without gaps."""
+    updates = _collected(absence_state(as_stream(df, "stream"), key, run), "update")
+    last = updates.groupBy(key).agg(F.max("last_seen_run").alias("last_seen_run"))
+    newest = df.agg(F.max(run).alias("_newest"))
+    return last.join(F.broadcast(newest)).select(key, "last_seen_run", (F.col("_newest") - F.col("last_seen_run")).alias("absences"))
+
+
+def sent_once(df: DataFrame, key: str) -> DataFrame:
+    """What a sink holds after df has come as a stream of events, each batch delivered twice: every key once.
+
+    A batch is checked against the sink before it is appended, and what it appends is its own: a batch that is delivered
+    again, after a failure between write and commit, finds its keys there and adds nothing.
+    """
+    spark = df.sparkSession
+    target = _folder(spark, "outbox")
+
+    def send(batch: DataFrame, _: int) -> None:
+        for _ in range(2):
+            append_delta(batch.dropDuplicates([key]), target, key)
+
+    stream = as_stream(df, "stream")
+    stream.writeStream.foreachBatch(send).option("checkpointLocation", _folder(spark, "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(df.schema).parquet(target) if not df.isEmpty() else df
+
+
+def through(stream: DataFrame) -> DataFrame:
+    """All rows of a stream, as its batches wrote them."""
+    return _collected(stream, "append").drop("batch")
