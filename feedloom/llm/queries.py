@@ -43,7 +43,8 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_survivors(spark: SparkSession, d: str) -> DataFrame:
-    return survivors.survivors(_table(spark, d, "row_groups"), _table(spark, d, "group_rows"), _table(spark, d, "source_trust"), _table(spark, d, "places_ref"))
+    out = survivors.survivors(_table(spark, d, "row_groups"), _table(spark, d, "group_rows"), _table(spark, d, "source_trust"), _table(spark, d, "places_ref"))
+    return out.withColumn("published_us", F.unix_micros("published_at")).drop("published_at")
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
@@ -55,7 +56,8 @@ def p8_containers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.mix(_table(spark, d, "documents"), _table(spark, d, "mix_targets"))[1].where("short").select("source")
+    """Sources too small for a mix as large as all documents."""
+    return mixing.mix(_table(spark, d, "documents"), _table(spark, d, "mix_targets"), fit=False)[1].where("short").select("source")
 
 
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
@@ -80,11 +82,11 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p6_found": P6_FOUND}
+    return {"p6_found": P6_FOUND, "p6_survivors": P6_SURVIVORS}
 
 
 #: group_rows writes places as names in one spelling, so equality with a name of the list is enough here.
-P6_FOUND = """
+_SURVIVING = """
 WITH names AS (
   SELECT lower(strip_accents(city)) AS name, 'city' AS role FROM places_ref WHERE kind = 'city'
   UNION SELECT lower(strip_accents(alt_name)), kind FROM places_ref WHERE alt_name IS NOT NULL
@@ -100,5 +102,10 @@ every AS (
 l AS (SELECT group_id, 'location' AS field, row_id, row_number() OVER (PARTITION BY group_id ORDER BY named DESC, rank, first_seen DESC, row_id) AS rn FROM every WHERE named > 0),
 p AS (SELECT group_id, 'published_at' AS field, row_id, row_number() OVER (PARTITION BY group_id ORDER BY rank, first_seen DESC, row_id) AS rn FROM every
       WHERE published_at >= TIMESTAMP '2000-01-01' AND published_at <= first_seen)
-SELECT group_id, field, row_id FROM l WHERE rn = 1 UNION ALL SELECT group_id, field, row_id FROM p WHERE rn = 1
 """
+P6_FOUND = _SURVIVING + "SELECT group_id, field, row_id FROM l WHERE rn = 1 UNION ALL SELECT group_id, field, row_id FROM p WHERE rn = 1"
+P6_SURVIVORS = _SURVIVING + """, given AS (SELECT group_id, row_id, count(*) AS gave FROM (SELECT group_id, row_id FROM l WHERE rn = 1 UNION ALL SELECT group_id, row_id FROM p WHERE rn = 1) GROUP BY ALL),
+r AS (SELECT e.group_id, e.row_id, row_number() OVER (PARTITION BY e.group_id ORDER BY coalesce(g.gave, 0) DESC, rank, first_seen DESC NULLS LAST, e.row_id) AS rn FROM every e LEFT JOIN given g USING (group_id, row_id))
+SELECT r.group_id, gl.location, l.row_id AS location_row_id, epoch_us(gp.published_at) AS published_us, p.row_id AS published_at_row_id, r.row_id AS representative_row_id, gr.identity AS representative
+FROM r LEFT JOIN (SELECT * FROM l WHERE rn = 1) l USING (group_id) LEFT JOIN (SELECT * FROM p WHERE rn = 1) p USING (group_id)
+JOIN group_rows gr ON gr.row_id = r.row_id LEFT JOIN group_rows gl ON gl.row_id = l.row_id LEFT JOIN group_rows gp ON gp.row_id = p.row_id WHERE r.rn = 1"""

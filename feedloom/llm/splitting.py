@@ -48,13 +48,16 @@ def token_starts(text: str, ids: list[int], enc) -> np.ndarray:
     return np.where(starts[ends], index[ends], -1)
 
 
-def cut_points(total: int, strength: np.ndarray, limit: int, overlap: int, pieces: int) -> list[tuple[int, int]] | None:
-    """[(first token, end token)] of pieces pieces, or None where a piece can't keep the limit. strength: -1 where no cut may be."""
+def cut_points(total: int, strength: np.ndarray, limit: int, overlap: int, pieces: int, reach: float = 1 / 3) -> list[tuple[int, int]] | None:
+    """[(first token, end token)] of pieces pieces, or None where a piece can't keep the limit. strength: -1 where no cut may be.
+
+    A cut lies within reach of its target, in steps (the distance of targets).
+    """
     step, out, start = (total - overlap) / pieces, [], 0
     for i in range(1, pieces):
         target = overlap + i * step
-        low = max(start + overlap + 1, int(target - step / 3), total - (pieces - i) * (limit - overlap))
-        high = min(start + limit, int(target + step / 3), total - 1)
+        low = max(start + overlap + 1, out[-1][1] + 1 if out else 1, int(target - step * reach), total - (pieces - i) * (limit - overlap))
+        high = min(start + limit, int(target + step * reach), total - 1)
         if low > high:
             return None
         near = np.arange(low, high + 1)
@@ -66,27 +69,60 @@ def cut_points(total: int, strength: np.ndarray, limit: int, overlap: int, piece
         start = low + best - overlap
         while start > 0 and strength[start] < 0:
             start -= 1
+        if start <= out[-1][0]:
+            return None
     out.append((start, total))
     return out if total - start <= limit else None
 
 
+def any_cuts(text: str, at: np.ndarray, enc, limit: int, overlap: int) -> list[tuple[int, int, int]]:
+    """Pieces cut at the last token boundary that holds the limit and starts a character: what remains where targets can't be held.
+
+    Pieces share overlap tokens or the nearest fewer that let the next one go on. A single character of over limit tokens
+    is a piece of its own.
+    """
+    stops = np.flatnonzero(at >= 0)  # tokens that start a character
+    out, start = [], 0
+    while True:
+        a = int(at[start])
+        later = stops[stops > start]
+        n = int(np.searchsorted(later, start + limit, "right"))
+        for k in range(max(n, 1), 0, -1):
+            end = int(later[k - 1])
+            size = len(enc.encode_ordinary(text[a : int(at[end])]))
+            if size <= limit:
+                break
+        out.append((a, int(at[end]), size))
+        if end == len(at) - 1:
+            return out
+        back = stops[(stops > start) & (stops >= end - overlap) & (stops <= end)]
+        start = int(back[0])
+
+
 def split_text(text: str, enc, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int, int]]:
     """[(start, end, tokens)] in characters; one piece for a text within the limit.
 
     From the least number of pieces on, the first number is taken whose cuts are all at the end of a clause or better;
-    where none of the next three is, the one with the strongest weakest cut. Each piece is encoded anew to hold the limit.
+    where none of the first four that hold is, the one with the strongest weakest cut. If that cut is inside a word, cuts
+    are looked for as far from their targets as the limit allows. Each piece is encoded anew to hold the limit. Where no
+    number of pieces up to twice the least and eight holds it, any_cuts() does.
     """
+    if not 0 <= overlap < limit:
+        raise ValueError(f"an overlap of {overlap} does not leave room in pieces of {limit}")
     ids = enc.encode_ordinary(text)
     total = len(ids)
     if total <= limit:
         return [(0, len(text), total)]
     at = token_starts(text, ids, enc)
     strength = np.where(at >= 0, strengths(text)[np.maximum(at, 0)], -1)
-    least = -(-(total - overlap) // (limit - overlap))
-    best, tried, pieces = None, 0, least
-    while tried < 4 or best is None:
-        cuts = cut_points(total, strength, limit, overlap, pieces)
-        if cuts:
+    least = max(2, -(-(total - overlap) // (limit - overlap)))
+    best = None
+    for reach in (1 / 3, 2.0):
+        tried = 0
+        for pieces in range(least, 2 * least + 9):
+            cuts = cut_points(total, strength, limit, overlap, pieces, reach)
+            if not cuts:
+                continue
             spans = [(int(at[a]), int(at[b])) for a, b in cuts]
             sizes = [len(enc.encode_ordinary(text[a:b])) for a, b in spans]
             if max(sizes) <= limit:
@@ -96,8 +132,11 @@ def split_text(text: str, enc, limit: int = LIMIT, overlap: int = OVERLAP) -> li
                 if weakest >= 2:
                     break
             tried += 1
-        pieces += 1
-    return best[1]
+            if tried >= 4 and best:
+                break
+        if best and best[0] > 0:
+            break
+    return best[1] if best else any_cuts(text, at, enc, limit, overlap)
 
 
 def split_long(docs: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, path: str = VOCABULARY) -> DataFrame:

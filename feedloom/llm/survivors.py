@@ -46,24 +46,20 @@ def survivors(groups: DataFrame, rows: DataFrame, trust: DataFrame, ref: DataFra
     trusted = -F.coalesce(F.col("trust_rank"), F.lit(2**31 - 1)).cast("long")
     seen = F.coalesce(F.unix_micros("first_seen"), F.lit(-(2**62)))
 
+    who = [trusted.alias("trust"), seen.alias("seen"), (-F.col("row_id")).alias("id"), F.col("identity").alias("identity")]
+
     def best(usable: Column, value: Column, *first: Column) -> Column:
-        return F.max(F.when(usable, F.struct(*[x.alias(f"k{i}") for i, x in enumerate(first)], trusted.alias("trust"), seen.alias("seen"), (-F.col("row_id")).alias("id"), value.alias("value"))))
+        return F.max(F.when(usable, F.struct(*[x.alias(f"k{i}") for i, x in enumerate(first)], *who, value.alias("value"))))
 
     dated = (F.col("published_at") >= F.lit(EARLIEST).cast("timestamp")) & (F.col("published_at") <= F.col("first_seen"))
-    per_group = every.groupBy("group_id").agg(
-        best(F.col("named") > 0, F.col("location"), F.col("named")).alias("l"),
-        best(dated, F.col("published_at")).alias("p"),
-        F.max(F.struct(trusted.alias("trust"), seen.alias("seen"), (-F.col("row_id")).alias("id"), F.col("identity").alias("value"))).alias("r"),
-    )
-    winner = F.coalesce(-F.col("l.id"), -F.col("p.id"), -F.col("r.id"))
-    return per_group.select(
-        "group_id",
-        F.col("l.value").alias("location"),
-        (-F.col("l.id")).alias("location_row_id"),
-        F.col("p.value").alias("published_at"),
-        (-F.col("p.id")).alias("published_at_row_id"),
-        winner.alias("representative_row_id"),
-    ).join(rows.select(F.col("row_id").alias("representative_row_id"), F.col("identity").alias("representative")), "representative_row_id")
+    fields = {"location": best(F.col("named") > 0, F.col("location"), F.col("named")), "published_at": best(dated, F.col("published_at"))}
+    per_group = every.groupBy("group_id").agg(*[best_.alias(f"_{f}") for f, best_ in fields.items()], F.max(F.struct(*who)).alias("_any"))
+    givers = F.array_compact(F.array(*[F.when(F.col(f"_{f}").isNotNull(), F.struct(*[F.col(f"_{f}.{k}").alias(k) for k in ("trust", "seen", "id", "identity")])) for f in fields]))
+    gave = F.transform(givers, lambda g: F.struct(F.size(F.filter(givers, lambda h: h["id"] == g["id"])).alias("gave"), g["trust"].alias("trust"), g["seen"].alias("seen"), g["id"].alias("id"), g["identity"].alias("identity")))
+    winner = F.coalesce(F.array_max(gave), F.struct(F.lit(0).alias("gave"), "_any.*"))
+    columns = [c for f in fields for c in (F.col(f"_{f}.value").alias(f), (-F.col(f"_{f}.id")).alias(f"{f}_row_id"))]
+    out = per_group.select("group_id", *columns, winner.alias("_winner"))
+    return out.withColumns({"representative_row_id": -F.col("_winner.id"), "representative": F.col("_winner.identity")}).drop("_winner")
 
 
 def survivors_found(groups: DataFrame, rows: DataFrame, trust: DataFrame, ref: DataFrame) -> DataFrame:

@@ -70,5 +70,10 @@ def test_survivors(spark):
     assert {tuple(r) for r in survivors.survivors_found(groups, rows, trust, ref).collect()} == {(1, "location", 2), (1, "published_at", 2), (2, "location", 4), (2, "published_at", 2)}
     whole = {r["group_id"]: r["representative"] for r in survivors.survivors(groups, rows, trust, ref).collect()}
     assert whole == {1: "b", 2: "d", 3: "e"}
+    # two members give a field each: of these the more trusted, then later seen one is the representative
+    apart = groups.limit(0).unionByName(spark.createDataFrame([(7, ["a", "c"])], "group_id long, members array<string>"))
+    assert {tuple(r) for r in survivors.survivors_found(apart, rows, trust, ref).collect()} == {(7, "location", 3), (7, "published_at", 1)}
+    apart = apart.unionByName(spark.createDataFrame([(8, ["b", "d"])], "group_id long, members array<string>"))
+    assert {r["group_id"]: r["representative"] for r in survivors.survivors(apart, rows, trust, ref).collect()} == {7: "c", 8: "b"}
     assert survivors.survivors_found(groups.limit(0), rows, trust, ref).count() == 0
     assert survivors.survivors_found(groups, rows.limit(0), trust, ref).count() == 0

@@ -83,7 +83,7 @@ def test_mix(spark):
     texts = [" ".join(rng.choices(WORDS, k=30)) for _ in range(600)] + [None, ""]
     sources = ["Big"] * 200 + [" big "] * 200 + ["small"] * 20 + ["other"] * 180 + [None, "small"]
     targets = spark.createDataFrame([("big", 0.5, 2), ("small", 0.3, 3), ("absent", 0.2, 1), ("zero", 0.0, 1)], "source string, target_share double, max_repeats int")
-    mixed, report = mixing.mix(docs(spark, texts, sources), targets)
+    mixed, report = mixing.mix(docs(spark, texts, sources), targets, fit=False)
     got, told = mixed.toPandas(), report.toPandas().set_index("source")
     assert got.groupby(["doc_id", "source"]).size().max() <= 3 and got[got.source == "big"].groupby("doc_id").size().max() <= 2
     assert set(told[told.short].index) == {"small", "absent"}
@@ -92,7 +92,7 @@ def test_mix(spark):
     # any stretch of the mix has about its share: the schedule is even, not blocked
     half = got[got.slot < got.slot.max() / 2]
     assert abs(half[half.source == "big"].n_tokens.sum() / got[got.source == "big"].n_tokens.sum() - 0.5) < 0.05
-    again = mixing.mix(docs(spark, texts, sources), targets)[0].toPandas()
+    again = mixing.mix(docs(spark, texts, sources), targets, fit=False)[0].toPandas()
     assert sorted(again.itertuples(index=False, name=None)) == sorted(got.itertuples(index=False, name=None))
     assert mixing.mix(docs(spark, texts, sources).limit(0), targets)[0].count() == 0
     assert mixing.mix(docs(spark, texts, sources), targets.limit(0))[1].count() == 0
@@ -131,3 +131,44 @@ def test_split_table(spark):
         assert list(part.text) == [texts[i][a:b] for a, b in zip(part.start, part.end, strict=True)]
         assert part.pieces.nunique() == 1 and len(part) == part.pieces.iloc[0]
     assert splitting.split_long(docs(spark, texts).limit(0)).count() == 0
+
+
+def test_splitting_always_ends():
+    """Small limits on code points of several tokens, where a balanced cut may not exist."""
+    import pytest
+
+    enc = tokens.encoding()
+    rng = random.Random(4)
+    text = "".join(chr(rng.randrange(0x1D000, 0x1D7FF)) for _ in range(60)) + "ab cd"
+    for limit in range(1, 12):
+        for overlap in range(limit):
+            pieces = splitting.split_text(text, enc, limit, overlap)
+            assert pieces[0][0] == 0 and pieces[-1][1] == len(text)
+            for (a, b, n), (c, d, _) in zip(pieces, [*pieces[1:], (len(text), 0, 0)]):
+                assert a < c <= b and n == len(enc.encode_ordinary(text[a:b])) and (n <= limit or b == a + 1)
+    for overlap in (4, 5, -1):
+        with pytest.raises(ValueError):
+            splitting.split_text(text, enc, 4, overlap)
+
+
+def test_the_only_natural_cut_is_found_however_far():
+    enc = tokens.encoding()
+    text = "lorem " * 60 + "x" * 900
+    limit = len(enc.encode_ordinary("x" * 900)) + 8
+    pieces = splitting.split_text(text, enc, limit, 2)
+    strength = splitting.strengths(text)
+    assert len(pieces) == 2 and strength[pieces[0][1]] > 0
+
+
+def test_a_scarce_source_sizes_the_mix(spark):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices(WORDS, k=30)) for _ in range(900)]
+    sources = ["big"] * 500 + ["small"] * 40 + ["mid"] * 360
+    targets = spark.createDataFrame([("big", 0.5, 1), ("small", 0.2, 2), ("mid", 0.2, 1), ("absent", 0.1, 1)], "source string, target_share double, max_repeats int")
+    mixed, report = mixing.mix(docs(spark, texts, sources), targets)
+    told = report.toPandas().set_index("source")
+    for source, share in (("big", 0.5), ("small", 0.2), ("mid", 0.2)):
+        assert abs(told.actual_share[source] - share / 0.9) < 0.01
+    assert told.actual_share["absent"] == 0 and not told.short.drop("absent").any()
+    assert abs(told.goal_tokens["big"] - 2 * told.tokens["small"] * 0.9 / 0.2) < 2
+    assert mixed.groupBy("doc_id", "source").count().where("count > 2 or (count > 1 and source <> 'small')").count() == 0
