@@ -30,8 +30,8 @@ def squeeze(c: Column) -> Column:
 
 
 def strip_marks(c: Column) -> Column:
-    """Without combining marks, invisible characters, and marks of Latin letters."""
-    return F.translate(F.regexp_replace(c, _INVISIBLE, ""), _FROM, _TO)
+    """Without combining marks, invisible characters, and marks of Latin letters. Texts of one-byte characters have none."""
+    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(F.translate(F.regexp_replace(c, _INVISIBLE, ""), _FROM, _TO))
 
 
 def plain(c: Column) -> Column:

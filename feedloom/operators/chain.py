@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ class Rule:
     name: str
     drops: Column
     detail: Column | None = None
+    once: dict[str, Column] = field(default_factory=dict)  # columns that drops reads, worked out once a row
 
 
 _REGISTRY: dict[str, Callable[..., Rule]] = {}
@@ -42,9 +43,15 @@ def rule(kind: str, /, **options: object) -> Rule:
 
 
 def judged(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """df with drop_rule and drop_detail, null on kept rows. Later rules are not evaluated for a dropped row."""
+    """df with drop_rule and drop_detail, null on kept rows. Later rules are not evaluated for a dropped row.
+
+    What rules share (Rule.once) is a projection of its own below, so it is worked out once a row and not in every branch.
+    """
+    once = {name: c for r in rules for name, c in r.once.items()}
+    columns = df.columns
+    df = df.withColumns(once) if once else df
     verdict = F.coalesce(*[F.when(r.drops, F.struct(F.lit(r.name).alias("rule"), (F.lit(None) if r.detail is None else r.detail).cast("string").alias("detail"))) for r in rules])
-    return df.withColumn("_verdict", verdict).withColumn("drop_rule", F.col("_verdict.rule")).withColumn("drop_detail", F.col("_verdict.detail")).drop("_verdict")
+    return df.withColumn("_verdict", verdict).withColumn("drop_rule", F.col("_verdict.rule")).withColumn("drop_detail", F.col("_verdict.detail")).select(*[F.col(f"`{c}`") for c in columns], "drop_rule", "drop_detail")
 
 
 def drop_counts(judged_rows: DataFrame, rules: Sequence[Rule], *by: str) -> DataFrame:
@@ -62,13 +69,13 @@ def term_pattern(term: str) -> str:
 
 
 def first_term(text: Column, terms: Sequence[str]) -> Column:
-    """The first of terms, in their order, that text holds as a whole word; null for none."""
-    return F.coalesce(*[F.when(F.rlike(text, F.lit(term_pattern(t))), F.lit(t)) for t in terms])
+    """The first of terms, in their order, that text holds as a whole word; null for none. Text is searched for the term itself before its pattern is tried."""
+    return F.coalesce(*[F.when(F.contains(text, F.lit(t)) & F.rlike(text, F.lit(term_pattern(t))), F.lit(t)) for t in terms])
 
 
 def all_terms(text: Column, terms: Sequence[str]) -> Column:
     """All of terms that text holds, in their order."""
-    return F.array_compact(F.array(*[F.when(F.rlike(text, F.lit(term_pattern(t))), F.lit(t)) for t in terms]))
+    return F.array_compact(F.array(*[F.when(F.contains(text, F.lit(t)) & F.rlike(text, F.lit(term_pattern(t))), F.lit(t)) for t in terms]))
 
 
 def reason(rule_name: Column, detail: Column, words: dict[str, str]) -> Column:
@@ -100,13 +107,15 @@ def expiry(now: str) -> Rule:
 @register_rule("terms")
 def terms(column: Column, wanted: Sequence[str], name: str = "terms") -> Rule:
     """Rows whose text holds none of the wanted terms."""
-    return Rule(name, first_term(F.coalesce(column, F.lit("")), wanted).isNull(), column)
+    held = f"_text_{id(column)}"  # rules on one column share it
+    return Rule(name, first_term(F.coalesce(held, F.lit("")), wanted).isNull(), F.col(held), {held: column})
 
 
 @register_rule("excluded")
 def excluded(column: Column, words: Sequence[str], name: str = "excluded") -> Rule:
     """Rows whose text holds one of words."""
-    return Rule(name, first_term(column, words).isNotNull(), first_term(column, words))
+    held = f"_text_{id(column)}"
+    return Rule(name, first_term(F.col(held), words).isNotNull(), first_term(F.col(held), words), {held: column})
 
 
 @register_rule("all_in")

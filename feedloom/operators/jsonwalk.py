@@ -13,15 +13,22 @@ from pyspark.sql import functions as F
 _MAIL = re.compile(r"[\w.+-]+@[\w-]+\.[\w.-]+")
 
 
-def resolve(value: object, path: str) -> tuple[bool, object]:
-    """(present, value) at a dotted path; a step into an array takes its first item that has the rest of the path."""
-    head, _, rest = path.partition(".")
-    if isinstance(value, list):
-        found = (resolve(x, path) for x in value)
-        return next((f for f in found if f[0]), (False, None))
-    if not isinstance(value, dict) or head not in value:
-        return False, None
-    return resolve(value[head], rest) if rest else (True, value[head])
+def first_at(value: object, path: str) -> list:
+    """[what lies at a dotted path], or [] for nothing there.
+
+    The path's keys lead through objects. Where an array lies on the way its items are tried in their order, each with the
+    keys that are left. Of the places that can be reached so, the first counts, null included.
+    """
+    waiting = [(value, tuple(path.split(".")))]
+    while waiting:  # depth first, so the order of items is kept
+        here, keys = waiting.pop()
+        if not keys:
+            return [here]
+        if isinstance(here, list):
+            waiting += [(x, keys) for x in reversed(here)]
+        elif isinstance(here, dict) and keys[0] in here:
+            waiting.append((here[keys[0]], keys[1:]))
+    return []
 
 
 def sanitised(value: object, fields: Sequence[str], text: str = "removed") -> object:
@@ -49,13 +56,25 @@ def _each(change, kind: types.DataType):
 
 
 def resolved(c: Column, path: str) -> Column:
-    """The value at path as text, JSON for containers; null where it is absent, null, or the text no JSON."""
+    """The value at path as text, JSON for containers; null where it is absent, null, or the text no JSON. All of it in the JVM.
+
+    As first_at(), but that an array within an array is not entered.
+    """
+
+    def below(v: Column, keys: list[str]) -> Column:
+        if not keys:
+            return v
+        member = below(F.try_variant_get(v, f"$.{keys[0]}", "variant"), keys[1:])
+        items = F.try_variant_get(v, "$", "array<variant>")
+        inside = F.transform(items, lambda x: below_object(x, keys))
+        return F.coalesce(member, F.get(F.filter(inside, lambda x: x.isNotNull()), F.lit(0)))
 
-    def take(x):
-        v = resolve(x, path)[1]
-        return v if v is None or isinstance(v, str) else json.dumps(v, ensure_ascii=False)
+    def below_object(v: Column, keys: list[str]) -> Column:
+        return below(F.try_variant_get(v, f"$.{keys[0]}", "variant"), keys[1:])
 
-    return _each(take, types.StringType())(c)
+    found = below(F.try_parse_json(c), path.split("."))
+    text = F.when(F.schema_of_variant(found) == "STRING", F.try_variant_get(found, "$", "string")).otherwise(F.to_json(found))
+    return F.when(~F.is_variant_null(found), text)
 
 
 def sanitise(c: Column, fields: Sequence[str]) -> Column:

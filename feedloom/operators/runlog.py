@@ -20,10 +20,10 @@ def assemble(polls: DataFrame, budget: int, test_mode: bool = False) -> DataFram
     """One log a run (SCHEMA) from polls: run_at, board_id, source, status, requests, fetched, new, stopped_by, mark, detail.
 
     A run's boards are those of the configuration, some hundreds, so its record stays small at any number of postings.
-    stopped says that the requests used up the budget.
+    stopped says that the requests used up the budget. Requests of no source count in the whole alone.
     """
     board = F.struct(F.col("board_id").alias("board"), "status", "fetched", "new", "stopped_by", "mark", "detail")
-    per_source = polls.groupBy("run_at", "source").agg(F.sum("requests").alias("n"))
+    per_source = polls.where("source is not null").groupBy("run_at", "source").agg(F.sum("requests").alias("n"))
     by_source = per_source.groupBy("run_at").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("source", "n")))).alias("by_source"))
     runs = polls.groupBy("run_at").agg(
         F.array_sort(F.collect_list(board)).alias("boards"), F.sum("requests").alias("used"),
@@ -31,7 +31,7 @@ def assemble(polls: DataFrame, budget: int, test_mode: bool = False) -> DataFram
     )
     requests = F.struct(F.col("used").alias("requests_used"), F.lit(budget).cast("long").alias("budget"), "by_source")
     stopped = F.when(F.col("used") >= budget, "request ceiling")
-    return runs.join(by_source, "run_at").select("run_at", F.lit(test_mode).alias("test_mode"), stopped.alias("stopped"), requests.alias("requests"), "boards", "totals")
+    return runs.join(by_source, "run_at", "left").select("run_at", F.lit(test_mode).alias("test_mode"), stopped.alias("stopped"), requests.alias("requests"), "boards", "totals")
 
 
 def write(logs: DataFrame, folder: str) -> None:

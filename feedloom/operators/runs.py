@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from feedloom.operators.ranks import running
 from feedloom.operators.runlog import covered
 
 
@@ -20,6 +21,12 @@ def page_is_old(published: Column, mark: Column) -> Column:
     return (F.size(dated) > 0) & F.forall(dated, lambda p: p <= mark)
 
 
+def old_pages(entries: DataFrame, page: list[str], mark: Column) -> DataFrame:
+    """(page.., stops): page_is_old() of pages given as rows with published_at, by one aggregation."""
+    told = entries.groupBy(*page).agg(F.count("published_at").alias("_n"), F.bool_and(F.col("published_at") <= mark).alias("_old"))
+    return told.select(*page, ((F.col("_n") > 0) & F.coalesce("_old", F.lit(True))).alias("stops"))
+
+
 def nth_absence(last_seen: DataFrame, runs: DataFrame, n: int) -> DataFrame:
     """(identity, closed_at): the time of the n-th run of the posting's board after it was last seen; null before that.
 
@@ -28,7 +35,9 @@ def nth_absence(last_seen: DataFrame, runs: DataFrame, n: int) -> DataFrame:
     """
     times = runs.groupBy("board_id").agg(F.array_sort(F.collect_set("run_at")).alias("runs"))
     later = F.filter("runs", lambda t: t > F.col("last_seen"))
-    return last_seen.join(times, "board_id", "left").select("identity", F.get(later, F.lit(n - 1)).alias("closed_at"))
+    # each board's times meet each distinct last_seen once, not every posting
+    ends = last_seen.select("board_id", "last_seen").distinct().join(times, "board_id").select("board_id", "last_seen", F.get(later, F.lit(n - 1)).alias("closed_at"))
+    return last_seen.join(ends, ["board_id", "last_seen"], "left").select("identity", "closed_at")
 
 
 def closed(postings: DataFrame, polled: DataFrame, n: int, now: str) -> DataFrame:
@@ -66,10 +75,27 @@ def previous_run(runs: DataFrame, key: str, when: str) -> DataFrame:
     return runs.withColumn("previous", F.lag(when).over(W.partitionBy(key).orderBy(when)))
 
 
+BINS = 1024
+
+
 def spread(df: DataFrame, value: Column, *by: str) -> DataFrame:
-    """(by.., n, min, median, p90, max); the median is interpolated, p90 is the nearest rank."""
-    v = df.select(*by, value.alias("_v")).where("_v is not null")
-    return v.groupBy(*by).agg(F.count("*").alias("n"), F.min("_v").alias("min_v"), F.median("_v").alias("median_v"), F.expr("percentile_disc(0.9) WITHIN GROUP (ORDER BY _v)").alias("p90_v"), F.max("_v").alias("max_v"))
+    """(by.., n, min, median, p90, max), exact; the median is interpolated, p90 is the nearest rank. Null values don't count; a group of nulls has no row.
+
+    Equal values are counted first. Values are cut into BINS ranges between a group's least and greatest, so that a group's
+    order is found in two levels, range by range, and no group is the work of one task.
+    """
+    keys = [*by, "_one"]
+    counted = df.select(*by, F.lit(1).alias("_one"), value.alias("_v")).where("_v is not null").groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
+    ends = counted.groupBy(*keys).agg(F.sum("_n").alias("n"), F.min("_v").alias("min_v"), F.max("_v").alias("max_v"))
+    a, b = counted.alias("a"), ends.alias("b")
+    told = a.join(b, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]).select("a.*", "b.n", "b.min_v", "b.max_v")
+    part = F.coalesce(F.floor(F.try_divide(F.col("_v") - F.col("min_v"), F.col("max_v") - F.col("min_v")) * BINS), F.lit(0))
+    ranked = running(told, keys, part, ["_v"], F.col("_n"), "_before")
+    holds = lambda place: (F.col("_before") <= place) & (place < F.col("_before") + F.col("_n"))
+    pick = lambda place: F.max(F.when(holds(place), F.col("_v")))
+    low, high = F.floor((F.col("n") - 1) / 2), F.ceil((F.col("n") - 1) / 2)
+    per = ranked.groupBy(*keys).agg(F.max("n").alias("n"), F.max("min_v").alias("min_v"), (0.5 * pick(low) + 0.5 * pick(high)).alias("median_v"), pick(F.ceil(F.lit(0.9) * F.col("n")) - 1).alias("p90_v"), F.max("max_v").alias("max_v"))
+    return per.drop("_one")
 
 
 def first_contacts(fetched: DataFrame, run: str, source: str, is_new: Column) -> DataFrame:

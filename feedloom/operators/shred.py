@@ -33,11 +33,11 @@ def _parse(text: str | None):
 _KINDS = {type(None): "null", bool: "boolean", dict: "object", list: "array", str: "string", int: "number", float: "number"}
 
 
-def shred_text(text: str | None, unwrap: bool = True) -> list[tuple] | None:
+def shred_text(text: str | None, unwrap: Sequence[str] = ()) -> list[tuple] | None:
     """The nodes of a JSON text in document order, or None if it is no valid JSON.
 
-    Members of an object have a label, elements of an array an ordinal from 0. With unwrap, a string that is itself the
-    JSON text of an array or object is taken for that array or object.
+    Members of an object have a label, elements of an array an ordinal from 0. A string under one of the labels unwrap
+    that is itself the JSON text of an array or object is taken for that array or object; other strings stay scalars.
     """
     try:
         root = _parse(text)
@@ -46,7 +46,7 @@ def shred_text(text: str | None, unwrap: bool = True) -> list[tuple] | None:
     rows, stack = [], [(root, None, None, None)]
     while stack:  # no recursion: depth is the data's
         value, parent, label, ordinal = stack.pop()
-        if unwrap and isinstance(value, str) and value[:1] in "[{" and value[-1:] in "]}":
+        if label in unwrap and isinstance(value, str) and value[:1] in "[{" and value[-1:] in "]}":
             try:
                 value = _parse(value)
             except (ValueError, RecursionError):
@@ -63,7 +63,7 @@ def shred_text(text: str | None, unwrap: bool = True) -> list[tuple] | None:
     return rows
 
 
-def adjacency(pages: DataFrame, key: str = "page_id", payload: str = "payload", keep: Sequence[str] = (), unwrap: bool = True) -> DataFrame:
+def adjacency(pages: DataFrame, key: str = "page_id", payload: str = "payload", keep: Sequence[str] = (), unwrap: Sequence[str] = ()) -> DataFrame:
     """(key, keep.., node, parent, label, ordinal, kind, scalar) of every valid page; other pages have no rows.
 
     Null and blank payloads are not valid. Node 0 is the page's root. A key repeated in an object keeps its last value.
@@ -133,7 +133,7 @@ def flat_tables(pages: DataFrame, labels: Sequence[str] = ("customField", "depar
     children: page_id, posting_node, posting_id, child_path, child_pos, and the scalar members name, text, content,
     fieldId, fieldLabel, valueId, valueLabel. Pages fetched again are pages of their own.
     """
-    nodes = materialize(adjacency(pages), "nodes")
+    nodes = materialize(adjacency(pages, unwrap=labels), "nodes")
     posts = entity(nodes, "page_id", postings(nodes), ("id", "title", "text", "name"))
     posts = posts.select("page_id", "node", "position", F.col("id").alias("posting_id"), F.coalesce("title", "text", "name").alias("title"))
     kids = entity(nodes, "page_id", children(nodes, "page_id", posts, labels), ("id", "name", "text", "content", "fieldId", "fieldLabel", "valueId", "valueLabel"), "child_")

@@ -7,6 +7,7 @@ digests agree with the snapshot before are discarded; only the rows of the other
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,8 +17,8 @@ from pyspark.sql import Window as W
 from feedloom.functions import text as T
 from feedloom.session import materialize
 
-#: Mean rows of a chunk; buckets of keys for each shuffle partition of the session, which a deployment sizes to its data.
-CHUNK, SPREAD = 64, 4
+#: Mean rows of a chunk; least buckets of keys for each shuffle partition of the session; rows of a bucket, which is what one window sorts.
+CHUNK, SPREAD, BUCKET = 64, 4, 50_000
 
 
 def canonical(df: DataFrame, column: str) -> Column:
@@ -46,7 +47,10 @@ def digests(df: DataFrame, key: str, snapshot: str, ignore: Sequence[str]) -> Da
 
 
 def chunked(rows: DataFrame, chunk: int = CHUNK, buckets: int | None = None) -> DataFrame:
-    """rows with bucket and chunk: the first key of the row's chunk ('' before a bucket's first boundary)."""
+    """rows with bucket and chunk: the first key of the row's chunk ('' before a bucket's first boundary).
+
+    Whatever the number of buckets, equal snapshots have equal chunks; it only bounds what one task sorts.
+    """
     buckets = buckets or SPREAD * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     mark = F.xxhash64(F.lit("chunk"), "record_key")
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("record_key"), F.lit(buckets)))
@@ -60,7 +64,9 @@ def changes(df: DataFrame, key: str, snapshot: str = "snapshot_no", ignore: Sequ
     Snapshots are consecutive among those delivered, whatever their numbers; the first has no changes. Blanks at the ends
     or repeated and null against '' are no change, arrays are sets. Empty input, or one snapshot, gives no rows.
     """
-    rows = materialize(chunked(digests(df, key, snapshot, ignore), chunk), "snapshots")
+    least = SPREAD * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(least, math.ceil(df.count() / BUCKET))  # of a Parquet table the footers tell it
+    rows = materialize(chunked(digests(df, key, snapshot, ignore), chunk, buckets), "snapshots")
     order = W.orderBy("snapshot_no")  # one row a snapshot: a handful
     numbers = rows.select("snapshot_no").distinct().withColumn("before", F.lag("snapshot_no").over(order)).where("before is not null")
     both = F.struct(F.count("*").alias("n"), F.bit_xor("digest").alias("x"), F.sum(F.xxhash64("record_key", "digest").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64("digest", "record_key")).alias("k"))

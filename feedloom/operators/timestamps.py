@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from feedloom.operators.ranks import positions
 from feedloom.session import materialize
 
 EARLIEST = "2000-01-01"
@@ -206,10 +207,10 @@ def choose(read: DataFrame, block: int = BLOCK) -> DataFrame:
     then finds its own path, so the result is that of one pass, at any block size. Rows that have one reading and whose
     neighbours have one are left out beforehand: they add the same cost to every path.
     """
-    from feedloom.operators.ranks import positions
-
     rows = read.where(F.size("readings") > 0).select("id", F.coalesce("source", F.lit("")).alias("source"), "order", F.transform("readings", lambda r: r["format"]).alias("formats"), F.transform("readings", lambda r: F.unix_micros(r["at"])).alias("ats"))
-    rows = positions(rows, ["source"], F.coalesce(F.date_trunc("hour", "order"), F.lit("1970-01-01").cast("timestamp")), ["order", "id"], "pos")
+    # shards are ranges of the order with about equally many rows each, so a bulk load within one moment is many of them
+    rows = materialize(rows.repartitionByRange("source", "order", "id").withColumn("_range", F.spark_partition_id()), "ordered")
+    rows = positions(rows, ["source"], F.col("_range"), ["order", "id"], "pos").drop("_range")
     rows = rows.withColumn("block", F.floor(F.col("pos") / block))
     # each block also holds the row before it, its entry
     halo = rows.where((F.col("pos") + 1) % block == 0).withColumn("block", F.col("block") + 1)

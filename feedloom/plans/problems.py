@@ -45,12 +45,40 @@ def p7_table(spark: SparkSession, d: str) -> DataFrame:
     return table.select("record_id", "feed_id", "file_no", "version", "posting", F.to_json("fields").alias("fields"))
 
 
+def p7_columns(spark: SparkSession, d: str) -> DataFrame:
+    """The columns of each source's table with their types."""
+    return drift.drift(_table(spark, d, "feed_records")).columns
+
+
+def p7_clashes(spark: SparkSession, d: str) -> DataFrame:
+    """Records two of whose paths went to one field with different values."""
+    return drift.drift(_table(spark, d, "feed_records")).clashes
+
+
+def p7_versions(spark: SparkSession, d: str) -> DataFrame:
+    """The schema version and fingerprint of every file."""
+    return drift.drift(_table(spark, d, "feed_records")).versions
+
+
+def p7_typed(spark: SparkSession, d: str) -> DataFrame:
+    """Every record's row of its source's typed table, as JSON, since the sources' columns differ."""
+    records = _table(spark, d, "feed_records")
+    found = drift.drift(records)
+    sources = sorted(r[0] for r in found.columns.select("source").distinct().collect())
+    out = None
+    for source in sources:
+        wide = drift.typed(found, records, source)
+        part = wide.select("record_id", F.lit(source).alias("source"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in wide.columns if c != "record_id"]), {"ignoreNullFields": "false"}).alias("row"))
+        out = part if out is None else out.unionByName(part)
+    return out if out is not None else records.select("record_id", "source", F.lit("").alias("row"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p2_postings, p2_pages, p3_found, p4_found, p4_instants, p7_found, p7_table)}
+    return {f.__name__: f for f in (p2_found, p2_postings, p2_pages, p3_found, p4_found, p4_instants, p7_found, p7_table, p7_columns, p7_clashes, p7_versions, p7_typed)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": P2_FOUND, "p2_postings": P2_POSTINGS, "p2_pages": P2_PAGES, "p3_found": P3_FOUND}
+    return {"p2_found": P2_FOUND, "p2_postings": P2_POSTINGS, "p2_pages": P2_PAGES, "p3_found": P3_FOUND, "p4_found": P4_FOUND}
 
 
 _POSTS = """
@@ -105,3 +133,39 @@ SELECT entity, snapshot_no, record_key,
   CASE WHEN w.t IS NULL THEN 'added' WHEN n.t IS NULL THEN 'removed' ELSE 'changed' END AS change
 FROM now_ n FULL JOIN was w USING (entity, snapshot_no, record_key) WHERE n.t IS DISTINCT FROM w.t
 """
+
+_T = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,12}))?)?"
+_NAMES = "['a', 'b', 'c', 'h', 'mi', 's', 'f', 'tail']"
+_MONTH = "list_position(['jan', 'feb', 'mar', 'apr', 'may', 'jun', 'jul', 'aug', 'sep', 'oct', 'nov', 'dec'], lower(left({c}, 3)))"
+_ZONES = "{'Z': 0, 'UT': 0, 'UTC': 0, 'GMT': 0, 'EST': -300, 'EDT': -240, 'CST': -360, 'CDT': -300, 'MST': -420, 'MDT': -360, 'PST': -480, 'PDT': -420}"
+_DAY_US = 86_400_000_000
+P4_FOUND = f"""
+WITH p AS (SELECT posting_id, regexp_replace(published_raw, '^[\\s\u00a0\u3000]+|[\\s\u00a0\u3000]+$', '', 'g') AS t, z.zone FROM postings LEFT JOIN (SELECT board_id, max(zone) AS zone FROM boards GROUP BY 1) z USING (board_id) WHERE published_raw IS NOT NULL),
+cut AS (
+  SELECT posting_id, zone, 'ymd' AS o, regexp_extract(t, '^(\\d{{4}})-(\\d{{2}})-(\\d{{2}})[Tt ]{_T}\\s*(.*)$', {_NAMES}) AS x, '' AS half FROM p
+  UNION ALL SELECT posting_id, zone, 'ymd', regexp_extract(t, '^(\\d{{4}})(\\d{{2}})(\\d{{2}})[Tt](\\d{{2}})(\\d{{2}})(\\d{{2}})(?:[.,](\\d{{1,12}}))?\\s*(.*)$', {_NAMES}), '' FROM p
+  UNION ALL SELECT posting_id, zone, 'dmy', regexp_extract(t, '^(?:[A-Za-z]{{3,9}},?\\s+)?(\\d{{1,2}})[\\s-]+([A-Za-z]{{3,9}})\\.?,?[\\s-]+(\\d{{4}}),?\\s+{_T}\\s*(.*)$', {_NAMES}), '' FROM p
+  UNION ALL SELECT posting_id, zone, 'mdy', regexp_extract(regexp_replace(t, '\\s*([AaPp])\\.?[Mm]\\.?(\\s|$)', ' '), '^([A-Za-z]{{3,9}})\\.?\\s+(\\d{{1,2}}),?\\s+(\\d{{4}}),?\\s+{_T}\\s*(.*)$', {_NAMES}), upper(regexp_extract(t, ':\\d{{2}}\\s*([AaPp])\\.?[Mm]\\.?(\\s|$)', 1)) FROM p),
+part AS (
+  SELECT posting_id, zone, half, CASE o WHEN 'ymd' THEN x.a ELSE x.c END AS y, CASE o WHEN 'ymd' THEN x.b WHEN 'dmy' THEN CAST({_MONTH.format(c="x.b")} AS VARCHAR) ELSE CAST({_MONTH.format(c="x.a")} AS VARCHAR) END AS mo, CASE o WHEN 'ymd' THEN x.c WHEN 'dmy' THEN x.a ELSE x.b END AS d, x.h AS h, x.mi AS mi, x.s AS s, x.f AS f,
+    trim(regexp_replace(x.tail, '\\([^)]*\\)\\s*$', '')) AS tail FROM cut WHERE x.a <> ''),
+clock AS (
+  SELECT posting_id, zone, tail, epoch_us(TRY_CAST(printf('%s-%02d-%02d %02d:%s:%s.%s', y, CAST(mo AS INTEGER), CAST(d AS INTEGER), CASE half WHEN '' THEN CAST(h AS INTEGER) WHEN 'P' THEN CAST(h AS INTEGER) % 12 + 12 ELSE CAST(h AS INTEGER) % 12 END, mi, CASE WHEN s = '' THEN '00' ELSE s END, rpad(left(f, 6), 6, '0')) AS TIMESTAMP)) AS us,
+    regexp_extract(tail, '^\\[?([A-Za-z]+(?:/[A-Za-z_+-]+)+)\\]?$', 1) AS named, regexp_extract(tail, '^([+-]\\d{{2}}):?(\\d{{2}})?(?:\\[[^\\]]*\\])?$', ['h', 'm']) AS off
+  FROM part WHERE mo IS NOT NULL AND CAST(h AS INTEGER) < 24 AND (half = '' OR CAST(h AS INTEGER) BETWEEN 1 AND 12)),
+zoned AS (SELECT posting_id, us, CASE WHEN tail = '' THEN zone ELSE nullif(named, '') END AS z, CASE WHEN off.h <> '' THEN CAST(off.h AS INTEGER) * 60 + CASE WHEN off.h LIKE '-%' THEN -1 ELSE 1 END * CAST(CASE WHEN off.m = '' THEN '0' ELSE off.m END AS INTEGER)
+  ELSE map_extract_value(MAP {_ZONES}, upper(tail)) END AS minutes, tail FROM clock WHERE us IS NOT NULL),
+timed AS (
+  SELECT posting_id, us - CAST(minutes AS BIGINT) * 60000000 AS inst FROM zoned WHERE tail <> '' AND minutes IS NOT NULL AND abs(minutes) <= 1080
+  UNION ALL SELECT posting_id, inst FROM (SELECT posting_id, us, z, unnest([epoch_us(timezone(z, make_timestamp(us - {_DAY_US}))) + {_DAY_US}, epoch_us(timezone(z, make_timestamp(us + {_DAY_US}))) - {_DAY_US}]) AS inst FROM zoned WHERE z IS NOT NULL) WHERE epoch_us(timezone(z, make_timestamptz(inst))) = us),
+days AS (
+  SELECT posting_id, regexp_extract(t, '^(\\d{{4}})[-/.]?(\\d{{2}})[-/.]?(\\d{{2}})$', ['y', 'm', 'd']) AS x FROM p WHERE regexp_matches(t, '^(\\d{{8}}|\\d{{4}}-\\d{{2}}-\\d{{2}}|\\d{{4}}/\\d{{2}}/\\d{{2}}|\\d{{4}}\\.\\d{{2}}\\.\\d{{2}})$')
+  UNION ALL SELECT posting_id, {{'y': x.c, 'm': CAST({_MONTH.format(c="x.b")} AS VARCHAR), 'd': x.a}} FROM (SELECT posting_id, regexp_extract(t, '^(?:[A-Za-z]{{3,9}},?\\s+)?(\\d{{1,2}})[\\s-]+([A-Za-z]{{3,9}})\\.?,?[\\s-]+(\\d{{4}})$', ['a', 'b', 'c']) AS x FROM p) WHERE x.a <> ''
+  UNION ALL SELECT posting_id, {{'y': x.c, 'm': CAST({_MONTH.format(c="x.a")} AS VARCHAR), 'd': x.b}} FROM (SELECT posting_id, regexp_extract(t, '^([A-Za-z]{{3,9}})\\.?\\s+(\\d{{1,2}}),?\\s+(\\d{{4}})$', ['a', 'b', 'c']) AS x FROM p) WHERE x.a <> ''
+  UNION ALL SELECT posting_id, unnest([{{'y': x.c, 'm': x.b, 'd': x.a}}, {{'y': x.c, 'm': x.a, 'd': x.b}}]) FROM (SELECT posting_id, regexp_extract(t, '^(\\d{{1,2}})[/.-](\\d{{1,2}})[/.-](\\d{{4}})$', ['a', 'b', 'c']) AS x FROM p) WHERE x.a <> ''),
+epochs AS (SELECT posting_id, TRY_CAST(floor(n * u) AS BIGINT) AS inst FROM (SELECT posting_id, CAST(t AS DECIMAL(27, 9)) AS n, unnest([CAST(1000000 AS DECIMAL(10, 3)), 1000, 1, 0.001]) AS u FROM p WHERE regexp_matches(t, '^\\d{{1,17}}(\\.\\d{{1,9}})?$') AND NOT regexp_matches(t, '^\\d{{8}}$'))),
+every AS (
+  SELECT posting_id, inst FROM timed UNION ALL SELECT posting_id, epoch_us(TRY_CAST(printf('%s-%02d-%02d', x.y, CAST(x.m AS INTEGER), CAST(x.d AS INTEGER)) AS TIMESTAMP)) FROM days WHERE x.m IS NOT NULL
+  UNION ALL SELECT posting_id, inst FROM epochs WHERE inst < 4102444800000000)
+SELECT posting_id, strftime(make_timestamp(min(inst)), '%Y-%m-%dT%H:%M:%S.%fZ') AS published_utc FROM every WHERE inst >= 946684800000000 GROUP BY posting_id HAVING count(DISTINCT inst) = 1
+"""

@@ -232,10 +232,10 @@ def high_water(t):
     return runs.high_water(t("seen_snapshots"), F.col("last_seen").isNotNull())
 
 
-@query("""SELECT board_id, count(p) > 0 AND coalesce(bool_and(p <= TIMESTAMPTZ '2025-12-31 00:00:00+00'), true) AS stops FROM (SELECT board_id, published_at AS p FROM seen_snapshots WHERE snapshot_no = 1) GROUP BY board_id""")
+@query("""SELECT board_id, count(p) > 0 AND coalesce(bool_and(p <= TIMESTAMPTZ '2025-12-31 00:00:00+00'), true) AS stops FROM (SELECT board_id, published_at AS p FROM seen_snapshots) GROUP BY board_id""")
 def walk_stop(t):
-    pages = t("seen_snapshots").where("snapshot_no = 1").groupBy("board_id").agg(F.count("published_at").alias("n"), F.bool_and(F.col("published_at") <= F.lit("2025-12-31 00:00:00+00:00").cast("timestamp")).alias("old"))
-    return pages.select("board_id", ((F.col("n") > 0) & F.coalesce("old", F.lit(True))).alias("stops"))
+    """A board's dates stand for a page's."""
+    return runs.old_pages(t("seen_snapshots"), ["board_id"], F.lit("2025-12-31 00:00:00+00:00").cast("timestamp"))
 
 
 @query("""WITH f AS (SELECT identity, stated_experience, described, who_reads FROM (SELECT *, row_number() OVER (PARTITION BY identity ORDER BY row_id DESC) AS rn FROM incoming_rows) WHERE rn = 1)
@@ -403,7 +403,7 @@ def failing_streak(t):
 
 
 @query(f"WITH r AS ({SQL_RUNS}), i AS (SELECT *, sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY run_day) AS island FROM r), s AS (SELECT user_id, island, count(*) FILTER (WHERE NOT ok) AS n FROM i GROUP BY ALL) SELECT user_id, max(n) AS longest FROM s GROUP BY user_id")
-def quiet_streak(t):
+def longest_streak(t):
     return runs.longest_streaks(_event_runs(t), "user_id", "run_day", ~F.col("ok"))
 
 
@@ -540,11 +540,11 @@ def contract_compare_all(t):
     return shapes.compare(old, new, "feed_id", "before", "file_no")
 
 
-@query("""WITH c AS (SELECT platform, board_id AS path FROM boards WHERE snapshot_no = 6 GROUP BY ALL), a AS (SELECT platform, unnest([board_id]) AS path, snapshot_no AS position, 'slots ' || len(poll_slots) AS cause FROM boards WHERE snapshot_day < DATE '2026-02-01' AND poll_slots IS NOT NULL),
+@query("""WITH c AS (SELECT platform, board_id AS path FROM boards GROUP BY ALL), a AS (SELECT platform, unnest([board_id]) AS path, snapshot_no AS position, 'slots ' || len(poll_slots) AS cause FROM boards WHERE snapshot_day < DATE '2026-02-01' AND poll_slots IS NOT NULL),
 f AS (SELECT platform, path, arg_min(cause, (position, cause)) AS cause FROM a GROUP BY ALL) SELECT c.platform, c.path, f.cause FROM c LEFT JOIN f USING (platform, path)""")
 def rebaseline_first_match(t):
     b = t("boards")
-    changes = b.where("snapshot_no = 6").select("platform", F.col("board_id").alias("path")).distinct()
+    changes = b.select("platform", F.col("board_id").alias("path")).distinct()
     cause = F.concat(F.lit("slots "), F.size("poll_slots").cast("string"))
     accepted = b.where("poll_slots is not null").select("platform", F.array("board_id").alias("paths"), F.col("snapshot_day").alias("accepted_at"), cause.alias("cause"), F.struct(F.col("snapshot_no").alias("n"), cause.alias("c")).alias("position"))
     return shapes.explained(changes, accepted, "platform", F.lit("2026-02-01").cast("date")).select("platform", "path", "cause")
@@ -600,18 +600,49 @@ def source_smartrecruiters(t):
     return rows.select("page_id", "external_id", "title", "employer", us("published_at").alias("published_us"))
 
 
-@query()
+def _sql_records() -> str:
+    """Every record of the three platforms' pages with what the parsers read, in SQL."""
+    fields = {  # id, title, url, employer, raw date, readable date, place
+        "greenhouse": ("$.jobs", "$.title", "json_extract_string(p, '$.absolute_url')", "json_extract_string(p, '$.company_name')", "json_extract_string(p, '$.first_published')", _SQL_ISO.format(c="json_extract_string(p, '$.first_published')"), "json_extract_string(p, '$.location.name')"),
+        "lever": ("$", "$.text", "json_extract_string(p, '$.hostedUrl')", "CAST(NULL AS VARCHAR)", "json_extract_string(p, '$.createdAt')", "CASE WHEN TRY_CAST(json_extract_string(p, '$.createdAt') AS BIGINT) BETWEEN 1000000000000 AND 4000000000000 THEN CAST(json_extract_string(p, '$.createdAt') AS BIGINT) * 1000 END", "json_extract_string(p, '$.categories.location')"),
+        "smartrecruiters": ("$.content", "$.name", "'https://' || replace(lower(board_id), ':', '.example/') || '/' || json_extract_string(p, '$.id')", "json_extract_string(p, '$.company.name')", "json_extract_string(p, '$.releasedDate')", _SQL_ISO.format(c="json_extract_string(p, '$.releasedDate')"),
+                            "coalesce(nullif(array_to_string(list_filter(list_transform(string_split(json_extract_string(p, '$.location.fullLocation'), ','), lambda x: trim(x)), lambda x, i: x <> '' AND list_position(list_transform(string_split(json_extract_string(p, '$.location.fullLocation'), ','), lambda y: trim(y)), x) = i), ', '), ''), json_extract_string(p, '$.location.city'))"),
+    }
+    parts = []
+    for source, (path, title, url, employer, raw, date, place) in fields.items():
+        listed = f"CASE WHEN json_type(j, '{path}') = 'ARRAY' THEN CAST(json_extract(j, '{path}') AS JSON[]) WHEN json_type(j) = 'OBJECT' THEN [j] ELSE [] END"
+        parts.append(f"SELECT page_id, source, board_id, pos, {_sql_text('$.id')} AS external_id, {_sql_text(title)} AS title, {url} AS url, {_tidy(employer)} AS employer, {raw} AS raw, {date} AS published_us, {_tidy(place)} AS location, json_type(p) AS kind FROM (SELECT page_id, source, board_id, unnest({listed}) AS p, generate_subscripts({listed}, 1) AS pos FROM (SELECT page_id, source, board_id, payload::JSON AS j FROM raw_pages WHERE json_valid(payload) AND source = '{source}'))")
+    union = " UNION ALL ".join(parts)
+    return f"""SELECT r.* EXCLUDE (employer), coalesce(r.employer, a.alias) AS employer, CASE WHEN kind IS DISTINCT FROM 'OBJECT' THEN 'not an object' WHEN external_id IS NULL THEN 'no id' WHEN title IS NULL THEN 'no title' WHEN NOT coalesce(regexp_matches(lower(url), '^https?://'), false) THEN 'url not absolute' WHEN raw IS NOT NULL AND published_us IS NULL THEN 'unreadable date' END AS problem
+FROM ({union}) r LEFT JOIN (SELECT board_id, max(employer_alias) AS alias FROM boards GROUP BY 1) a USING (board_id)"""
+
+
+_SQL_ISO = r"CASE WHEN regexp_matches({c}, '^\d{{4}}-\d{{2}}-\d{{2}}[T ]\d{{2}}:\d{{2}}(:\d{{2}}(\.\d+)?)?\s*(Z|[+-]\d{{2}}:?\d{{2}})$') THEN epoch_us(TRY_CAST({c} AS TIMESTAMPTZ)) END"
+
+
+def _tidy(c: str) -> str:
+    return f"nullif(trim(regexp_replace({c}, '\\s+', ' ', 'g')), '')"
+
+
+def _sql_text(path: str) -> str:
+    return _tidy(f"json_extract_string(p, '{path}')")
+
+
+@query(f"SELECT source, coalesce(problem, 'none') AS problem, count(*) AS n FROM ({_sql_records()}) GROUP BY ALL")
 def source_problems(t):
     """Every record that is no posting, with its reason, and rows for canonical output counted beside."""
     rows = platforms.parse_all(t("raw_pages"), ["greenhouse", "lever", "smartrecruiters"], t("boards"))
     return rows.groupBy("source", F.coalesce("problem", F.lit("none")).alias("problem")).agg(F.count("*").alias("n"))
 
 
-@query()
+@query(f"""WITH r AS (SELECT *, row_number() OVER (PARTITION BY page_id, external_id ORDER BY pos) AS rn FROM ({_sql_records()})), k AS (SELECT identity, min(first_seen) AS seen FROM seen_snapshots GROUP BY 1)
+SELECT source || ':' || external_id AS identity, source, board_id, external_id, employer, title, location, published_us, epoch_us(coalesce(seen, TIMESTAMPTZ '2026-06-15 00:00:00+00')) AS first_seen_us, coalesce(published_us, epoch_us(coalesce(seen, TIMESTAMPTZ '2026-06-15 00:00:00+00'))) AS ordering_us, CASE WHEN published_us IS NULL THEN 'first_seen' ELSE 'publication' END AS ordering_date_source, url
+FROM r LEFT JOIN k ON k.identity = source || ':' || external_id WHERE rn = 1 AND problem IS NULL""")
 def canonical_rows(t):
     """Postings of all pages as canonical rows; first_seen is kept for identities the seen store knows."""
     rows = platforms.distinct_in_page(platforms.parse_all(t("raw_pages"), ["greenhouse", "lever", "smartrecruiters"], t("boards")))
-    return platforms.to_rows(rows, t("seen_snapshots"), F.lit("2026-06-15 00:00:00+00:00").cast("timestamp"))
+    rows = platforms.to_rows(rows, t("seen_snapshots"), F.lit("2026-06-15 00:00:00+00:00").cast("timestamp"))
+    return rows.select("identity", "source", "board_id", "external_id", "employer", "title", "location", us("published_at").alias("published_us"), us("first_seen").alias("first_seen_us"), us("ordering_date").alias("ordering_us"), "ordering_date_source", "url")
 
 
 # ---- arrays, maps, sets
@@ -643,9 +674,9 @@ def set_intersect(t):
     return t("job_rows").select("identity").intersect(t("incoming_rows").select("identity"))
 
 
-@query("SELECT board_id FROM job_rows EXCEPT SELECT board_id FROM boards WHERE snapshot_no = 6")
+@query("SELECT board_id FROM job_rows EXCEPT SELECT board_id FROM boards")
 def set_except(t):
-    return t("job_rows").select("board_id").subtract(t("boards").where("snapshot_no = 6").select("board_id"))
+    return t("job_rows").select("board_id").subtract(t("boards").select("board_id"))
 
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, json_type(props, '$.k') IS NOT NULL AS present FROM events")
@@ -665,8 +696,8 @@ def emails_extract(t):
 @query()
 def description_facts(t):
     """Lines, on-site and years asked of every document; offsets and entities are beyond SQL."""
-    rows = t("documents").select("doc_id", D.lines_of(F.col("text")).alias("lines"))
-    return rows.select("doc_id", F.size("lines").alias("n_lines"), D.says_on_site(F.col("lines")).alias("on_site"), D.years_asked(F.col("lines")).alias("years"))
+    rows = t("documents").select("doc_id", "text", D.lines_of(F.col("text")).alias("lines"))
+    return rows.select("doc_id", F.size("lines").alias("n_lines"), D.says_on_site(F.col("lines"), F.col("text")).alias("on_site"), D.years_asked(F.col("lines"), F.col("text")).alias("years"))
 
 
 # ---- streams

@@ -19,6 +19,7 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    "spark.sql.maxPlanStringLength": "20000",
 }
 
 

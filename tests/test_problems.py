@@ -39,7 +39,7 @@ JSON = st.recursive(st.none() | st.booleans() | st.integers(-5, 5) | st.text("ab
 @settings(max_examples=200, deadline=None, database=None)
 @given(JSON)
 def test_shredding_round_trip(value):
-    assert rebuild(shred.shred_text(json.dumps(value), unwrap=False)) == value
+    assert rebuild(shred.shred_text(json.dumps(value))) == value
 
 
 def test_children(spark):
@@ -175,7 +175,7 @@ def test_steps(spark):
     one = [{"id": i, "a": str(i), "b": {"c": i, "d": 1}, "e": [], "n": None} for i in range(5)]
     two = [{"id": i, "A": str(i), "b": {"k": i, "d": 1}, "e": [1], "n": 1, "new": {"x": 1}} for i in range(5)]
     five = [{"id": i, "A": i, "e": ["s"], "n": None if i else 2, "new": {"x": 1}} for i in range(5)]
-    table, steps = drift.drift(records(spark, (1, one), (5, [*five, *five]), (2, two)))
+    table, steps, *_ = drift.drift(records(spark, (1, one), (5, [*five, *five]), (2, two)))
     got = {(r["file_no"], r["path"], r["change"]) for r in steps.collect()}
     assert got == {(2, "a", "renamed"), (2, "b.c", "renamed"), (2, "e", "retyped"), (2, "n", "retyped"), (2, "new", "added"), (5, "A", "retyped"), (5, "b", "removed"), (5, "e", "retyped")}
     fields = {r["record_id"]: r["fields"] for r in table.collect()}
@@ -184,7 +184,7 @@ def test_steps(spark):
 
 
 def test_unreadable_records(spark):
-    table, steps = drift.drift(records(spark, (1, [None, "", "{broken", "[1]", {"id": 1}]), (2, [{"id": 1}, {}])))
+    table, steps, *_ = drift.drift(records(spark, (1, [None, "", "{broken", "[1]", {"id": 1}]), (2, [{"id": 1}, {}])))
     assert steps.count() == 0 and table.count() == 7
     assert drift.drift(records(spark, (1, [None])).limit(0))[1].count() == 0
 
@@ -195,7 +195,7 @@ def test_casts_and_chained_levels(spark):
     two = [{"id": i, "day": {"value": f"d{i}"}, "place": {"city": f"p{i}", "zip": i}, "pay": {"ccy": f"c{i}", "min": i}, "bare": {}} for i in range(5)]
     three = [{"id": i, "day": {"value": None} if i else {}, "place": None, "salary": {"ccy": f"c{i}", "min": i}} for i in range(5)]
     four = [{"id": i, "day": f"d{i}", "salary": {"cur": f"c{i}", "min": i}, "note": i} for i in range(5)] + [{}]
-    table, steps = drift.drift(records(spark, (1, one), (2, two), (3, three), (4, four)))
+    table, steps, *_ = drift.drift(records(spark, (1, one), (2, two), (3, three), (4, four)))
     got = {(r["file_no"], r["path"], r["change"], r["new_path"]) for r in steps.where("change = 'renamed'").collect()}
     assert got == {(2, "pay.currency", "renamed", "pay.ccy"), (3, "pay", "renamed", "salary"), (4, "salary.ccy", "renamed", "salary.cur")}
     rows = {r["record_id"]: r["fields"] for r in table.collect()}
@@ -205,3 +205,45 @@ def test_casts_and_chained_levels(spark):
     assert [rows[n]["place"] for n in (102, 202, 302)] == ["p2", '{"city": "p2", "zip": 2}', None]
     assert [rows[n]["pay.currency"] for n in (102, 202, 302, 402)] == ["c2"] * 4 and [rows[n]["pay.min"] for n in (102, 202, 302, 402)] == ["2"] * 4
     assert [rows[n]["bare"] for n in (102, 202, 302)] == ["{}", "{}", None] and rows[402]["note"] == "2" and set(rows[405].values()) == {None}
+
+
+def test_one_name_for_a_source(spark):
+    """A feed that starts after a rename shares the field of one that saw it; a feed that holds both names keeps two."""
+    old, new = [{"id": i, "pay": {"currency": f"c{i}"}, "n": i} for i in range(5)], [{"id": i, "pay": {"ccy": f"c{i}"}, "n": i / 2} for i in range(5)]
+    rows = [(1000 * feed + 100 * n + i, feed, n, json.dumps(r), source) for feed, n, file, source in ((1, 1, old, "s"), (1, 2, new, "s"), (2, 5, new, "s"), (3, 1, new, "t"), (4, 1, [{"id": 1, "a": "x", "b": "x"}], "s")) for i, r in enumerate(file)]
+    found = drift.drift(spark.createDataFrame(rows, "record_id long, feed_id long, file_no int, payload string, source string"))
+    fields = {r["record_id"]: r["fields"] for r in found.table.collect()}
+    assert fields[2503]["pay.currency"] == "c3" == fields[1203]["pay.currency"] and "pay.ccy" not in fields[2503] and fields[3103]["pay.ccy"] == "c3"
+    assert {(r["source"], r["field"]): r["type"] for r in found.columns.collect()} == {("s", "id"): "bigint", ("s", "n"): "double", ("s", "pay.currency"): "string", ("s", "a"): "string", ("s", "b"): "string", ("t", "id"): "bigint", ("t", "n"): "double", ("t", "pay.ccy"): "string"}
+    assert found.clashes.count() == 0
+    prints = {(r["feed_id"], r["file_no"]): (r["version"], r["fingerprint"]) for r in found.versions.collect()}
+    assert prints[1, 2][0] == 2 and prints[2, 5][1] == prints[1, 2][1] != prints[1, 1][1]
+    wide = drift.typed(found, spark.createDataFrame(rows, "record_id long, feed_id long, file_no int, payload string, source string"), "s")
+    got = {r["record_id"]: r["n"] for r in wide.collect()}
+    assert dict(wide.dtypes)["n"] == "double" and got[1203] == 1.5 and got[1103] == 3.0
+
+
+def test_clashes_are_reported(spark):
+    """A wrapped member and the bare value of one record may not silently become one."""
+    one = [{"id": i, "a": f"v{i}"} for i in range(5)]
+    two = [{"id": i, "b": f"v{i}"} for i in range(5)]
+    three = [{"id": i, "b": f"v{i}", "a": f"w{i}"} for i in range(5)]
+    found = drift.drift(records(spark, (1, one), (2, two), (3, three)))
+    clashing = {(r["record_id"], r["field"], r["n_values"]) for r in found.clashes.collect()}
+    fields = {r["record_id"]: r["fields"] for r in found.table.collect()}
+    assert clashing in ({(300 + i, "a", 2) for i in range(5)}, set()) and all(set(f) >= {"id", "a"} for f in fields.values())
+
+
+def test_only_child_lists_are_unwrapped(spark):
+    """Texts that look like JSON stay texts, but for those under the labels asked for."""
+    nodes = shred.adjacency(pages(spark, {"title": "[1]", "text": "{}", "lists": '[{"a": "[2]"}]'}), unwrap=("lists",))
+    got = {(r["label"], r["kind"], r["scalar"]) for r in nodes.collect() if r["label"]}
+    assert got == {("title", "string", "[1]"), ("text", "string", "{}"), ("lists", "array", None), ("a", "string", "[2]")}
+
+
+def test_a_bulk_load_is_many_shards(spark, boards):
+    """All rows fetched at one moment: the order within it goes by id, over ranges of rows."""
+    values = ["13/02/2025", "03/04/2025", "14/05/2025", "05/06/2025", "06/07/2025", "20/07/2025"] * 50
+    one = postings(spark, values).withColumn("fetched_at", F.lit("2025-01-01").cast("timestamp"))
+    got = {r["posting_id"]: r["published_at"].month for r in timestamps.normalise(one, boards, 7).collect()}
+    assert len(got) == 300 and [got[i] for i in range(6)] == [2, 4, 5, 6, 7, 7]
