@@ -82,7 +82,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p6_found": P6_FOUND, "p6_survivors": P6_SURVIVORS}
+    return {"p6_found": P6_FOUND, "p6_survivors": P6_SURVIVORS, "p8_found": P8_FOUND, "p9_found": P9_FOUND, "p10_found": P10_FOUND}
 
 
 #: group_rows writes places as names in one spelling, so equality with a name of the list is enough here.
@@ -109,3 +109,11 @@ r AS (SELECT e.group_id, e.row_id, row_number() OVER (PARTITION BY e.group_id OR
 SELECT r.group_id, gl.location, l.row_id AS location_row_id, epoch_us(gp.published_at) AS published_us, p.row_id AS published_at_row_id, r.row_id AS representative_row_id, gr.identity AS representative
 FROM r LEFT JOIN (SELECT * FROM l WHERE rn = 1) l USING (group_id) LEFT JOIN (SELECT * FROM p WHERE rn = 1) p USING (group_id)
 JOIN group_rows gr ON gr.row_id = r.row_id LEFT JOIN group_rows gl ON gl.row_id = l.row_id LEFT JOIN group_rows gp ON gp.row_id = p.row_id WHERE r.rn = 1"""
+
+#: DuckDB has no tokenizer; no text lies near a limit and no source near its share, so four bytes a token decide alike.
+P8_FOUND = "SELECT doc_id FROM documents WHERE strlen(text) > 4 * 8192"
+P10_FOUND = "SELECT doc_id FROM documents WHERE strlen(text) > 4 * 2048"
+P9_FOUND = """
+WITH s AS (SELECT lower(trim(source)) AS key, sum(strlen(text)) AS tokens FROM documents GROUP BY 1), total AS (SELECT sum(strlen(text)) AS all_tokens FROM documents)
+SELECT m.source FROM mix_targets m LEFT JOIN s ON s.key = lower(trim(m.source)) JOIN total ON true WHERE coalesce(s.tokens, 0) * m.max_repeats < m.target_share * all_tokens
+"""
