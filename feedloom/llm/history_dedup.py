@@ -16,6 +16,7 @@ and verified by the true distance and by the words that differ. Accepted rows ar
 
 from __future__ import annotations
 
+import itertools
 import math
 import string
 import uuid
@@ -39,6 +40,8 @@ TITLE_PIVOTS = ("", *("".join(chr(97 + i) for i in range(26) if i >> bit & 1) fo
 RADIUS = 2
 #: Pivots whose ranges are part of the join's key (the others prune what meets).
 KEYED = ("t1", "t2", "t3", "n1")
+#: Characters of a plan's text that the driver keeps.
+PLAN_TEXT = "20000"
 #: Stored rows to a partition folder.
 PER_BUCKET, MOST_BUCKETS = 200_000, 4096
 
@@ -67,15 +70,19 @@ WORDING = Wording()
 
 def employer_name(employer: Column, wording: Wording = WORDING) -> Column:
     """The employer without legal form, case, marks, blanks; '' for none."""
-    dotted = F.regexp_replace(T.plain(employer), r"(?<=\b\p{L})\.(?=\p{L}\b|$|\s)", "")
-    kept = F.filter(F.filter(F.split(F.regexp_replace(dotted, r"\bs a\b", "sa"), r"[^\p{L}\p{N}]+"), lambda w: w != ""), lambda w: ~w.isin(*wording.legal))
+    plain = T.plain(employer)
+    dotted = F.when(F.contains(plain, F.lit(".")), F.regexp_replace(plain, r"(?<=\b\p{L})\.(?=\p{L}\b|$|\s)", "")).otherwise(plain)
+    joined = F.when(F.contains(dotted, F.lit("s a")), F.regexp_replace(dotted, r"\bs a\b", "sa")).otherwise(dotted)
+    kept = F.filter(F.split(joined, r"[^\p{L}\p{N}]+"), lambda w: (w != "") & ~w.isin(*wording.legal))
     return F.coalesce(F.array_join(kept, ""), F.lit(""))
 
 
 def title_words(title: Column, wording: Wording = WORDING) -> Column:
     """The title's words in order, short forms written out, without numbers, references and what advertisements add."""
-    bare = F.regexp_replace(T.plain(title), r"\bwe['’]?re\b|\b\w*\d\w*\b|\bfull[- ]time\b|\bpart[- ]time\b|\bon[- ]site\b", " ")
-    parts = F.filter(F.split(bare, r"[^\p{L}\p{N}]+"), lambda w: (w != "") & ~w.isin(*wording.noise))
+    plain = T.plain(title)
+    site = F.contains(plain, F.lit("on-site")) | F.contains(plain, F.lit("on site"))
+    bare = F.when(site, F.regexp_replace(plain, r"\bon[- ]site\b", " ")).otherwise(plain)
+    parts = F.filter(F.split(bare, r"[^\p{L}\p{N}]+"), lambda w: (w != "") & ~w.isin(*wording.noise) & ~F.rlike(w, F.lit(r"\d")))
     table = F.create_map(*[F.lit(x) for kv in wording.short.items() for x in kv])
     return F.split(F.array_join(F.transform(parts, lambda w: F.coalesce(F.try_element_at(table, w), w)), " "), " ")
 
@@ -148,7 +155,8 @@ def pivot_distances() -> dict[str, Column]:
     The distance of a title to the word that holds each letter of a pivot m times is m * (letters of the pivot) + (signs
     not in the pivot) - (signs in it) for any m that no title reaches; the constant is left out.
     """
-    titles = {f"t{i}": F.expr(f"2 * length(translate(title, '{p} ', '')) - length(replace(title, ' ', ''))") for i, p in enumerate(TITLE_PIVOTS)}
+    length = "length(replace(title, ' ', ''))"
+    titles = {f"t{i}": F.expr(f"2 * length(translate(title, '{p} ', '')) - {length}" if p else length) for i, p in enumerate(TITLE_PIVOTS)}
     return titles | {f"n{i}": F.expr(f"levenshtein(name, '{p}')") for i, p in enumerate(NAME_PIVOTS)}
 
 
@@ -206,27 +214,31 @@ def links(new: DataFrame, stored: DataFrame, wording: Wording = WORDING, counts:
     slip is, so that two common words one letter apart stay two. Words under four letters are no slips of each other.
     """
     a, b = new.alias("a"), stored.alias("b")
-    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("place", "cell")]
-    on += [F.col("b.stored") | (F.col("b.first") < F.col("a.first"))]
-    on += [F.abs(F.col(f"a.{p}") - F.col(f"b.{p}")) <= RADIUS for p in PIVOTS]
-    met = a.join(b, reduce(Column.__and__, on))
+    pruned = [F.col("b.stored") | (F.col("b.first") < F.col("a.first")), *[F.abs(F.col(f"a.{p}") - F.col(f"b.{p}")) <= RADIUS for p in PIVOTS]]
     x, y = F.col("a.name"), F.col("b.name")
     both = ~F.startswith(x, F.lit("\u0001")) & ~F.startswith(y, F.lit("\u0001"))
-    met = met.where((x == y) | (both & (F.levenshtein(x, y, RADIUS) >= 0) & T.near(x, y)))
-    met = met.where((F.col("a.title") == F.col("b.title")) | (letters("a.title", "b.title") <= RADIUS))
+    names = (x == y) | (both & (F.levenshtein(x, y, RADIUS) >= 0) & T.near(x, y))
+    titles = (F.col("a.title") == F.col("b.title")) | (letters("a.title", "b.title") <= RADIUS)
     words = [F.split(F.col(f"{s}.title"), " ") for s in "ab"]
-    met = met.select(F.col("a.first").alias("item"), F.col("b.first").alias("target"), "b.stored", F.array_except(*words).alias("ours"), F.array_except(*reversed(words)).alias("theirs"))
-    ours, theirs = F.array_join("ours", ""), F.array_join("theirs", "")
-    same = (ours == "") & (theirs == "")
-    short, long = F.least(F.length(ours), F.length(theirs)), F.greatest(F.length(ours), F.length(theirs))
-    met = met.where(same | ((short >= 3) & (long > 3) & T.near(ours, theirs)))
+    ours, theirs = F.array_except(*words), F.array_except(*reversed(words))
+
+    def slip(p: Column) -> Column:
+        u, v = p["u"], p["v"]
+        short, long = F.least(F.length(u), F.length(v)), F.greatest(F.length(u), F.length(v))
+        return ((u == "") & (v == "")) | ((short >= 3) & (long > 3) & T.near(u, v))
+
+    texts = F.array(F.struct(F.array_join(ours, "").alias("u"), F.array_join(theirs, "").alias("v")))  # a lambda's argument is worked out once
+    # one CASE, not several conjuncts: the cheap comparison of pivots stays the first, whatever the optimizer moves into the join
+    true = F.when(reduce(Column.__and__, pruned), F.when(names, F.when(titles, F.exists(texts, slip))))
+    met = a.join(b, (F.col("a.place") == F.col("b.place")) & (F.col("a.cell") == F.col("b.cell")) & true)
+    met = met.select(F.col("a.first").alias("item"), F.col("b.first").alias("target"), "b.stored", ours.alias("ours"), theirs.alias("theirs"))
     if counts is None:
         return met.select("item", "target", "stored")
     each = met.select("item", "target", "stored", F.explode_outer(F.concat(*[F.transform(side, lambda w: F.struct(F.lit(i).alias("side"), w.alias("word"))) for i, side in enumerate(("ours", "theirs"))])).alias("w"))
     each = each.select("item", "target", "stored", "w.side", "w.word").join(counts, "word", "left")
     rare = each.groupBy("item", "target", "stored").agg(*[F.min(F.when(F.col("side") == i, F.coalesce("n", F.lit(0)))).alias(f"n{i}") for i in (0, 1)])
-    slip = (F.col("n0") >= wording.ratio * F.col("n1")) | (F.col("n1") >= wording.ratio * F.col("n0"))
-    return rare.where(F.coalesce(slip, F.lit(True))).select("item", "target", "stored")
+    told_apart = (F.col("n0") < wording.ratio * F.col("n1")) & (F.col("n1") < wording.ratio * F.col("n0"))
+    return rare.where(~F.coalesce(told_apart, F.lit(False))).select("item", "target", "stored")
 
 
 def settle(pairs: DataFrame) -> DataFrame:
@@ -238,14 +250,17 @@ def settle(pairs: DataFrame) -> DataFrame:
     """
     cases = pairs.where("stored").groupBy("item").agg(F.min("target").alias("accepted"))
     open_, done = pairs.where("not stored").select("item", "target"), cases.select("item")
-    while True:
+    for round_ in itertools.count(1):
         open_ = open_.join(done, "item", "left_anti").join(done.withColumnRenamed("item", "target"), "target", "left_anti").select("item", "target")
-        if open_.isEmpty():
+        if round_ > 1 and open_.isEmpty():  # the first round is planned without looking
             return cases
-        open_ = materialize(open_, "open")
+        if round_ > 1:
+            open_ = materialize(open_, "open")
         waiting = open_.select(F.col("item").alias("target")).distinct()
-        hit = materialize(open_.join(waiting, "target", "left_anti").groupBy("item").agg(F.min("target").alias("accepted")), "cases")
+        hit = open_.join(waiting, "target", "left_anti").groupBy("item").agg(F.min("target").alias("accepted"))
+        hit = materialize(hit, "cases") if round_ > 1 else hit
         cases, done = cases.unionByName(hit), hit.select("item")
+    raise AssertionError
 
 
 def answered(rows: DataFrame, new: DataFrame, cases: DataFrame) -> DataFrame:
@@ -347,7 +362,7 @@ class History:
             stored = stored.where(F.col("bucket").isin([r[0] for r in looked.select("bucket").distinct().collect()]))
         kept = stored.drop("bucket").withColumn("stored", F.lit(True)).unionByName(new.withColumn("stored", F.lit(False)))
         pairs = links(looked, kept, self.wording, self._counts("word", word_counts(new), "word"))
-        cases = settle(materialize(pairs, "pairs"))
+        cases = materialize(settle(materialize(pairs, "pairs")), "cases")
         out = materialize(answered(rows, new, cases), "repeats")
         accepted = new.join(cases, F.col("first") == F.col("item"), "left_anti")
         took = batch.join(out.select(F.col("incoming_row_id").alias("row_id")), "row_id", "left_anti")
@@ -382,6 +397,7 @@ def by_batch(history: DataFrame, incoming: DataFrame, ref: DataFrame, wording: W
     What a row says does not depend on what is accepted, so the rows of all batches are read in one pass beforehand.
     """
     spark = history.sparkSession
+    spark.conf.set("spark.sql.maxPlanStringLength", PLAN_TEXT)  # the driver keeps the plan's text of each of its many small jobs
     path = path or f"{scratch_dir(spark)}/history-{uuid.uuid4().hex}"
     kept = History.build(materialize(read_rows(history, ref, wording), "points"), path, wording, per_bucket)
     rows = materialize(read_rows(incoming, ref, wording, ("batch_no",)), "points")
