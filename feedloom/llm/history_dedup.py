@@ -16,6 +16,7 @@ and verified by the true distance and by the words that differ. Accepted rows ar
 
 from __future__ import annotations
 
+import gc
 import itertools
 import math
 import string
@@ -289,6 +290,15 @@ _SCHEMAS = {
 }
 
 
+def _release(spark: SparkSession) -> None:
+    """Let the driver free what finished batches held: plans, broadcast blocks and shuffle files go when their handles are collected, which small jobs alone don't bring about."""
+    gc.collect()
+    try:
+        spark._jvm.System.gc()
+    except (AttributeError, TypeError):  # no JVM on this side
+        pass
+
+
 def _together(*steps: Callable[[], None]) -> None:
     """Run independent writes side by side; the first error is raised."""
     with ThreadPoolExecutor(len(steps)) as pool:
@@ -403,7 +413,11 @@ def by_batch(history: DataFrame, incoming: DataFrame, ref: DataFrame, wording: W
     rows = materialize(read_rows(incoming, ref, wording, ("batch_no",)), "points")
     numbers = sorted((r[0] for r in rows.select("batch_no").distinct().collect()), key=lambda n: (n is None, n))  # one a batch
     batches = [rows.where(F.col("batch_no").eqNullSafe(F.lit(n))) for n in numbers]
-    return kept, [(batch, kept.check(batch)) for batch in batches]
+    found = []
+    for batch in batches:
+        found.append((batch, kept.check(batch)))
+        _release(spark)
+    return kept, found
 
 
 def find_repeats(history: DataFrame, incoming: DataFrame, ref: DataFrame, wording: Wording = WORDING) -> DataFrame:
