@@ -91,8 +91,8 @@ def absences(df: DataFrame, key: str, run: str) -> DataFrame:
     """(key, last_seen_run, absences) after df has run as a stream: the runs since the key was last delivered. Runs are numbered without gaps."""
     updates = _collected(absence_state(as_stream(df, "stream"), key, run), "update")
     last = updates.groupBy(key).agg(F.max("last_seen_run").alias("last_seen_run"))
-    newest = df.agg(F.max(run).alias("_newest"))
-    return last.join(F.broadcast(newest)).select(key, "last_seen_run", (F.col("_newest") - F.col("last_seen_run")).alias("absences"))
+    newest = df.agg(F.max(run)).first()[0]  # one number
+    return last.select(key, "last_seen_run", (F.lit(newest) - F.col("last_seen_run")).alias("absences"))
 
 
 def sent_once(df: DataFrame, key: str) -> DataFrame:

@@ -4,12 +4,13 @@ import os
 
 import pytest
 
-from feedloom.plans import problems, reference
+from feedloom.plans import feeds, flows, problems, reference
 from tests.oracle import connect, rows
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = {**reference.queries(), **problems.queries()}
-SQL = {**reference.oracle_sql(), **problems.oracle_sql()}
+MODULES = (reference, feeds, flows, problems)
+QUERIES = {name: q for m in MODULES for name, q in m.queries().items()}
+SQL = {name: q for m in MODULES for name, q in m.oracle_sql().items()}
 
 
 @pytest.fixture(scope="module")
