@@ -12,6 +12,9 @@ What is accepted lies in a folder as a pivot-distance table: one row a way of wr
 distances, partitioned by a hash of the place and the ranges some distances fall into. A batch reads the partitions its own
 ranges lie in, meets only points of the same ranges in one equi-join, is pruned by the triangle inequality on every pivot,
 and verified by the true distance and by the words that differ. Accepted rows are appended; nothing stored is worked on again.
+
+Only which openings are accepted depends on the batch before. Counts depend on what came, accepted or not, so what batches
+that wait say, their counts and pivots are worked out in one pass; then each is joined, settled and appended in its turn.
 """
 
 from __future__ import annotations
@@ -21,8 +24,7 @@ import itertools
 import math
 import string
 import uuid
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions import text as T
 from feedloom.llm.canonical import map_places, segments
-from feedloom.session import materialize, scratch_dir
+from feedloom.session import materialize, scratch_dir, scratch_path
 
 #: Pivots of names: any strings are valid, spread in length and letters so that distances to them differ.
 NAME_PIVOTS = ("", "aeiourstln", "systemsnetworksanalytics")
@@ -119,20 +121,20 @@ def unnamed(board: Column) -> Column:
     return F.concat(F.lit("\u0001"), board)
 
 
-def named(rows: DataFrame, employers: DataFrame) -> DataFrame:
-    """points() with name filled in: a row without one has its board's employer, else the board stands for it."""
-    told = rows.join(employers.select("board_id", "board_name"), "board_id", "left")
+def named(rows: DataFrame, employers: DataFrame, *by: str) -> DataFrame:
+    """points() with name filled in: a row without one has its board's employer, else the board stands for it. by: columns of both, such as the batch."""
+    told = rows.join(employers.select(*by, "board_id", "board_name"), [*by, "board_id"], "left")
     return told.withColumn("name", F.when(F.col("name") != "", F.col("name")).otherwise(F.coalesce("board_name", unnamed(F.col("board_id"))))).drop("board_name")
 
 
-def leading_employers(counts: DataFrame, share: float = 0.9) -> DataFrame:
-    """(board_id, board_name, nameless) of boards on which one employer has at least share of the rows that name one.
+def leading_employers(counts: DataFrame, *by: str, share: float = 0.9) -> DataFrame:
+    """(by.., board_id, board_name, nameless) of boards on which one employer has at least share of the rows that name one.
 
-    counts: (board_id, name, n), '' counting the board's rows that name none.
+    counts: (by.., board_id, name, n), '' counting the board's rows that name none.
     """
     some = F.col("name") != ""
-    top = counts.groupBy("board_id").agg(F.max_by("name", F.when(some, F.struct("n", "name"))).alias("board_name"), F.max(F.when(some, F.col("n"))).alias("most"), F.sum(F.when(some, F.col("n"))).alias("total"), F.sum(F.when(~some, F.col("n")).otherwise(0)).alias("nameless"))
-    return top.where(F.col("most") >= share * F.col("total")).select("board_id", "board_name", "nameless")
+    top = counts.groupBy(*by, "board_id").agg(F.max_by("name", F.when(some, F.struct("n", "name"))).alias("board_name"), F.max(F.when(some, F.col("n"))).alias("most"), F.sum(F.when(some, F.col("n"))).alias("total"), F.sum(F.when(~some, F.col("n")).otherwise(0)).alias("nameless"))
+    return top.where(F.col("most") >= share * F.col("total")).select(*by, "board_id", "board_name", "nameless")
 
 
 def classes(rows: DataFrame, *keep: str) -> DataFrame:
@@ -193,17 +195,20 @@ def _bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("place", "cell"), F.lit(buckets)).cast("int")
 
 
-def asked(new: DataFrame, buckets: int, employers: DataFrame | None = None) -> DataFrame:
-    """pivot_table() rows, one for each cell in which something within RADIUS may lie, with the partition of that cell.
+def probes(new: DataFrame, employers: DataFrame, *by: str) -> DataFrame:
+    """pivot_table() rows to ask for: new ones themselves (own), and further names of theirs.
 
     An employer that leads boards with nameless rows (employers: leading_employers()) is also asked for under these boards'
     own names, since it may have become known after such a row was stored.
     """
-    probes = new.drop("cell")
-    if employers is not None:
-        boards = employers.where("nameless > 0").select(F.col("board_name").alias("name"), unnamed(F.col("board_id")).alias("other"))
-        probes = probes.unionByName(pivot_table(new.join(boards, "name").select("place", "title", F.col("other").alias("name"), "first")).drop("cell"))
-    return probes.withColumn("cell", near_cells()).withColumn("bucket", _bucket(buckets))
+    boards = employers.where("nameless > 0").select(*by, F.col("board_name").alias("name"), unnamed(F.col("board_id")).alias("other"))
+    others = pivot_table(new.join(boards, [*by, "name"]).select(*by, "place", "title", F.col("other").alias("name"), "first"))
+    return new.withColumn("own", F.lit(True)).unionByName(others.withColumn("own", F.lit(False)))
+
+
+def asked(new: DataFrame, buckets: int) -> DataFrame:
+    """pivot_table() rows, one for each cell in which something within RADIUS may lie, with the partition of that cell."""
+    return new.drop("cell").withColumn("cell", near_cells()).withColumn("bucket", _bucket(buckets))
 
 
 def links(new: DataFrame, stored: DataFrame, wording: Wording = WORDING, counts: DataFrame | None = None) -> DataFrame:
@@ -242,45 +247,56 @@ def links(new: DataFrame, stored: DataFrame, wording: Wording = WORDING, counts:
     return rare.where(~F.coalesce(told_apart, F.lit(False))).select("item", "target", "stored")
 
 
-def settle(pairs: DataFrame) -> DataFrame:
+def settle(pairs: DataFrame, folder: str | None = None) -> DataFrame:
     """(item, accepted): the items of links() that repeat an accepted one, with the first of those. pairs: written already.
 
     What lies near a stored class is a case; what lies near an earlier new one is a case unless that one is a case itself.
-    Links among new classes are settled in rounds, each deciding all items whose earlier neighbours are decided: as many as
-    the longest chain of near spellings within one batch, of which almost all batches have none or one.
+    Links among new classes are settled in rounds, each deciding all items that have an accepted neighbour or whose earlier
+    neighbours are decided: as many as the longest chain of near spellings within one batch, of which almost all batches
+    have none or one. A round is written to folder as it is decided.
     """
-    cases = pairs.where("stored").groupBy("item").agg(F.min("target").alias("accepted"))
-    open_, done = pairs.where("not stored").select("item", "target"), cases.select("item")
-    for round_ in itertools.count(1):
-        open_ = open_.join(done, "item", "left_anti").join(done.withColumnRenamed("item", "target"), "target", "left_anti").select("item", "target")
-        if round_ > 1 and open_.isEmpty():  # the first round is planned without looking
-            return cases
-        if round_ > 1:
-            open_ = materialize(open_, "open")
-        waiting = open_.select(F.col("item").alias("target")).distinct()
-        hit = open_.join(waiting, "target", "left_anti").groupBy("item").agg(F.min("target").alias("accepted"))
-        hit = materialize(hit, "cases") if round_ > 1 else hit
-        cases, done = cases.unionByName(hit), hit.select("item")
+    spark, folder = pairs.sparkSession, folder or scratch_path(pairs.sparkSession, "cases")
+
+    def written(step: DataFrame, number: int) -> DataFrame:
+        return materialize(step.select("item", "accepted", F.coalesce(F.col("accepted").isNull() & F.col("waits"), F.lit(False)).alias("waits")), path=f"{folder}/round={number}")
+
+    def decided(open_: DataFrame, known: DataFrame) -> DataFrame:
+        """known: (target, repeats), false for those that wait themselves; others are accepted."""
+        near = open_.join(known, "target", "left").groupBy("item")
+        return near.agg(F.min(F.when(F.col("repeats").isNull(), F.col("target"))).alias("accepted"), F.max(~F.col("repeats")).alias("waits"))
+
+    each = pairs.groupBy("item").agg(F.min(F.when(F.col("stored"), F.col("target"))).alias("accepted"), F.collect_list(F.when(~F.col("stored"), F.col("target"))).alias("near"))
+    known = each.select(F.col("item").alias("target"), F.col("accepted").isNotNull().alias("repeats"))
+    open_ = decided(each.where("accepted IS NULL").select("item", F.explode("near").alias("target")), known)
+    last = written(each.where("accepted IS NOT NULL").select("item", "accepted", F.lit(False).alias("waits")).unionByName(open_), 1)
+    for number in itertools.count(2):
+        every = spark.read.schema("item long, accepted long, waits boolean, round int").parquet(folder)
+        cases, waiting = every.where("accepted IS NOT NULL"), last.where("waits")
+        if waiting.isEmpty():
+            return cases.select("item", "accepted")
+        known = cases.select(F.col("item").alias("target"), F.lit(True).alias("repeats")).unionByName(waiting.select(F.col("item").alias("target"), F.lit(False).alias("repeats")))
+        open_ = pairs.where("NOT stored").select("item", "target").join(waiting.select("item"), "item", "left_semi")
+        last = written(decided(open_, known), number)
     raise AssertionError
 
 
-def answered(rows: DataFrame, new: DataFrame, cases: DataFrame) -> DataFrame:
-    """(accepted_row_id, incoming_row_id) of each row that repeats a stored opening or an earlier row. rows: named points; new: their classes."""
-    target = new.join(cases, F.col("first") == F.col("item"), "left").select("place", "title", "name", F.coalesce("accepted", "first").alias("to"))
-    out = rows.select("row_id", "place", "title", "name").join(target, ["place", "title", "name"]).where(F.col("to") != F.col("row_id"))
-    return out.select(F.col("to").alias("accepted_row_id"), F.col("row_id").alias("incoming_row_id")).distinct()
+def answered(rows: DataFrame, new: DataFrame, cases: DataFrame, *by: str) -> DataFrame:
+    """(by.., accepted_row_id, incoming_row_id) of each row that repeats a stored opening or an earlier row. rows: named points; new: their classes."""
+    target = new.join(cases.withColumnRenamed("item", "first"), [*by, "first"], "left").select(*by, "place", "title", "name", F.coalesce("accepted", "first").alias("to"))
+    out = rows.select(*by, "row_id", "place", "title", "name").join(target, [*by, "place", "title", "name"]).where(F.col("to") != F.col("row_id"))
+    return out.select(*by, F.col("to").alias("accepted_row_id"), F.col("row_id").alias("incoming_row_id")).distinct()
 
 
 # ---- stored history
 
-def word_counts(found: DataFrame) -> DataFrame:
-    """(word, n): in how many classes() each title word stands; copies count once."""
-    return found.select(F.explode(F.array_distinct(F.split("title", " "))).alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
+def word_counts(found: DataFrame, *by: str) -> DataFrame:
+    """(by.., word, n): in how many classes() each title word stands; copies count once."""
+    return found.select(*by, F.explode(F.array_distinct(F.split("title", " "))).alias("word")).where("word <> ''").groupBy(*by, "word").agg(F.count("*").alias("n"))
 
 
-def employer_counts(rows: DataFrame) -> DataFrame:
-    """(board_id, name, n): the rows of each board by employer, '' counting those that name none. rows: board_of, name."""
-    return rows.where("board_of is not null").groupBy(F.col("board_of").alias("board_id"), "name").agg(F.count("*").alias("n"))
+def employer_counts(rows: DataFrame, *by: str) -> DataFrame:
+    """(by.., board_id, name, n): the rows of each board by employer, '' counting those that name none. rows: by.., board_of, name."""
+    return rows.where("board_of is not null").groupBy(*by, F.col("board_of").alias("board_id"), "name").agg(F.count("*").alias("n"))
 
 
 _SCHEMAS = {
@@ -299,13 +315,6 @@ def _release(spark: SparkSession) -> None:
         pass
 
 
-def _together(*steps: Callable[[], None]) -> None:
-    """Run independent writes side by side; the first error is raised."""
-    with ThreadPoolExecutor(len(steps)) as pool:
-        for done in [pool.submit(step) for step in steps]:
-            done.result()
-
-
 class History:
     """All that is accepted, in a folder the executors share; batch after batch is checked against it and appended.
 
@@ -332,51 +341,67 @@ class History:
         buckets = min(MOST_BUCKETS, max(1, math.ceil(new.count() / per_bucket)))
         spark.range(1).select(F.lit(buckets).alias("buckets")).write.mode("overwrite").parquet(f"{path}/about")
         self = cls(spark, path, buckets, 0, wording)
-        self._accept(history, new, employers, new)
+        self._store(new)
+        self._tell(history.withColumn("batch", F.lit(0)), employers, word_counts(new))
         return self
 
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.schema(_SCHEMAS[name]).parquet(f"{self.path}/{name}")
 
-    def _accept(self, rows: DataFrame, new: DataFrame, employers: DataFrame, came: DataFrame) -> None:
-        """Append the accepted classes (new) and rows, and what came as a whole to the counts."""
+    def _store(self, new: DataFrame) -> None:
+        """Append accepted classes."""
         held = new.withColumn("bucket", _bucket(self.buckets)).repartition("bucket").sortWithinPartitions("place", "cell")
-        words = word_counts(came).select(F.lit("word").alias("kind"), F.col("word").alias("key"), F.lit("").alias("value"), "n")
-        counts = words.unionByName(employers.select(F.lit("employer").alias("kind"), F.col("board_id").alias("key"), F.col("name").alias("value"), "n"))
-        told = rows.select("row_id", "identity", "external_id", "first_seen", F.lit(self.batch).alias("batch"))
-        _together(
-            lambda: held.write.mode("append").partitionBy("bucket").parquet(f"{self.path}/pivots"),
-            lambda: counts.write.mode("append").parquet(f"{self.path}/counts"),
-            lambda: told.write.mode("append").parquet(f"{self.path}/accepted"),
-        )
-
-    def _counts(self, kind: str, more: DataFrame, *keys: str) -> DataFrame:
-        columns = [F.col(c).alias(k) for c, k in zip(("key", "value"), keys, strict=False)]
-        return self._read("counts").where(F.col("kind") == kind).select(*columns, "n").unionByName(more).groupBy(*keys).agg(F.sum("n").alias("n"))
+        held.write.mode("append").partitionBy("bucket").parquet(f"{self.path}/pivots")
+
+    def _tell(self, accepted: DataFrame, employers: DataFrame, words: DataFrame) -> None:
+        """Append accepted rows (with batch), and the counts of all that came."""
+        told = words.select(F.lit("word").alias("kind"), F.col("word").alias("key"), F.lit("").alias("value"), "n")
+        told = told.unionByName(employers.select(F.lit("employer").alias("kind"), F.col("board_id").alias("key"), F.col("name").alias("value"), "n"))
+        told.write.mode("append").parquet(f"{self.path}/counts")
+        accepted.select("row_id", "identity", "external_id", "first_seen", "batch").write.mode("append").parquet(f"{self.path}/accepted")
 
     def check(self, batch: DataFrame) -> DataFrame:
-        """(accepted_row_id, incoming_row_id): the batch's repeats of what is accepted or of its own earlier rows; the rest is appended.
+        """check_each() of a single batch, written points() with board_of: (accepted_row_id, incoming_row_id)."""
+        return self.check_each(batch.withColumn("batch", F.lit(self.batch + 1)), 1).drop("batch")
+
+    def check_each(self, rows: DataFrame, waiting: int) -> DataFrame:
+        """(batch, accepted_row_id, incoming_row_id): each batch's repeats of what is accepted or of its own earlier rows; the rest is appended before the next.
 
-        batch: written points() with board_of. Slips and boards' employers are judged by the counts up to this batch; what
-        was accepted before stays accepted. Of the stored table only partitions are read in which the batch's own ranges
-        lie. A batch without rows changes nothing.
+        rows: written points() with board_of, and the number of their batch, from self.batch + 1 on, of which there are
+        waiting. Slips and boards' employers are judged by the counts up to each batch; what was accepted before stays
+        accepted. Of the stored table a batch reads only partitions in which its own ranges lie. A batch without rows
+        changes nothing.
         """
-        self.batch += 1
-        employers = employer_counts(batch)
-        leading = materialize(leading_employers(self._counts("employer", employers, "board_id", "name")), "leading")
-        rows = named(batch, leading)
-        new = materialize(pivot_table(classes(rows)), "classes")
-        looked = asked(new, self.buckets, leading)
-        stored = self._read("pivots")
-        if self.buckets > 1:  # at most MOST_BUCKETS numbers
-            stored = stored.where(F.col("bucket").isin([r[0] for r in looked.select("bucket").distinct().collect()]))
-        kept = stored.drop("bucket").withColumn("stored", F.lit(True)).unionByName(new.withColumn("stored", F.lit(False)))
-        pairs = links(looked, kept, self.wording, self._counts("word", word_counts(new), "word"))
-        cases = materialize(settle(materialize(pairs, "pairs")), "cases")
-        out = materialize(answered(rows, new, cases), "repeats")
-        accepted = new.join(cases, F.col("first") == F.col("item"), "left_anti")
-        took = batch.join(out.select(F.col("incoming_row_id").alias("row_id")), "row_id", "left_anti")
-        self._accept(took, accepted, employers, new)
+        first, last = self.batch + 1, self.batch + waiting
+        employers, held = employer_counts(rows, "batch"), self._read("counts")
+        known = held.where("kind = 'employer'").select(F.lit(first).alias("batch"), F.col("key").alias("board_id"), F.col("value").alias("name"), "n").unionByName(employers)
+        known = known.withColumn("batch", F.explode(F.sequence("batch", F.lit(last)))).groupBy("batch", "board_id", "name").agg(F.sum("n").alias("n"))
+        leading = materialize(leading_employers(known, "batch"), "leading")
+        told = named(rows, leading, "batch")
+        looked = materialize(probes(pivot_table(classes(told, "batch")), leading, "batch"), "probes", by=("batch",))
+        new = looked.where("own").drop("own")
+        words = word_counts(new, "batch")
+        parts = held.where("kind = 'word'").select(F.lit(self.batch).alias("batch"), F.col("key").alias("word"), "n").unionByName(words)
+        parts = materialize(parts.groupBy("word").agg(F.collect_list(F.struct("batch", "n")).alias("parts")), "words")
+        buckets = {}
+        if self.buckets > 1:  # at most MOST_BUCKETS numbers a batch
+            buckets = dict(asked(looked, self.buckets).groupBy("batch").agg(F.collect_set("bucket")).collect())
+        folder = scratch_path(self.spark, "cases")
+        for number in range(first, last + 1):
+            own, stored = new.where(F.col("batch") == number).drop("batch"), self._read("pivots")
+            if self.buckets > 1:
+                stored = stored.where(F.col("bucket").isin(buckets.get(number, [])))
+            kept = stored.drop("bucket").withColumn("stored", F.lit(True)).unionByName(own.withColumn("stored", F.lit(False)))
+            counts = parts.select("word", F.expr(f"aggregate(filter(parts, p -> p.batch <= {number}), 0L, (n, p) -> n + p.n)").alias("n"))
+            pairs = links(asked(looked.where(F.col("batch") == number), self.buckets), kept, self.wording, counts)
+            cases = settle(materialize(pairs, "pairs"), f"{folder}/batch={number}")
+            self._store(own.join(cases, F.col("first") == F.col("item"), "left_anti"))
+            _release(self.spark)
+        cases = self.spark.read.schema("item long, accepted long, batch int").parquet(folder).where("accepted IS NOT NULL")
+        out = materialize(answered(told, new, cases, "batch"), "repeats")
+        took = rows.join(out.select("batch", F.col("incoming_row_id").alias("row_id")), ["batch", "row_id"], "left_anti")
+        self._tell(took, employers, words)
+        self.batch = last
         return out
 
     def identified(self, batch: DataFrame) -> DataFrame:
@@ -401,23 +426,28 @@ def read_rows(rows: DataFrame, ref: DataFrame, wording: Wording = WORDING, keep:
     return points(rows.withColumn("board_of", F.col("board_id")), ref, wording, (*keep, "board_of"))
 
 
-def by_batch(history: DataFrame, incoming: DataFrame, ref: DataFrame, wording: Wording = WORDING, path: str | None = None, per_bucket: int = PER_BUCKET) -> tuple[History, list[tuple[DataFrame, DataFrame]]]:
-    """history stored once, then batch after batch (batch_no, null last) checked and appended: (the history, [(batch, repeats)]).
-
-    What a row says does not depend on what is accepted, so the rows of all batches are read in one pass beforehand.
-    """
+def _in_turn(history: DataFrame, incoming: DataFrame, ref: DataFrame, wording: Wording, path: str | None = None, per_bucket: int = PER_BUCKET) -> tuple[History, DataFrame, DataFrame, int]:
+    """by_batch() in whole tables: (the history, points of incoming with batch, check_each() of them, the number of batches)."""
     spark = history.sparkSession
     spark.conf.set("spark.sql.maxPlanStringLength", PLAN_TEXT)  # the driver keeps the plan's text of each of its many small jobs
     path = path or f"{scratch_dir(spark)}/history-{uuid.uuid4().hex}"
     kept = History.build(materialize(read_rows(history, ref, wording), "points"), path, wording, per_bucket)
     rows = materialize(read_rows(incoming, ref, wording, ("batch_no",)), "points")
     numbers = sorted((r[0] for r in rows.select("batch_no").distinct().collect()), key=lambda n: (n is None, n))  # one a batch
-    batches = [rows.where(F.col("batch_no").eqNullSafe(F.lit(n))) for n in numbers]
-    found = []
-    for batch in batches:
-        found.append((batch, kept.check(batch)))
-        _release(spark)
-    return kept, found
+    given = [F.lit(n) for n in numbers if n is not None]
+    place = F.array_position(F.array(*given), F.col("batch_no")) if given else F.lit(None)
+    rows = rows.withColumn("batch", F.coalesce(place, F.lit(len(numbers))).cast("int"))
+    found = kept.check_each(rows, len(numbers)) if numbers else spark.createDataFrame([], "batch int, accepted_row_id long, incoming_row_id long")
+    return kept, rows, found, len(numbers)
+
+
+def by_batch(history: DataFrame, incoming: DataFrame, ref: DataFrame, wording: Wording = WORDING, path: str | None = None, per_bucket: int = PER_BUCKET) -> tuple[History, list[tuple[DataFrame, DataFrame]]]:
+    """history stored once, then batch after batch (batch_no, null last) checked and appended: (the history, [(batch, repeats)]).
+
+    What a row says does not depend on what is accepted, so the rows of all batches are read in one pass beforehand.
+    """
+    kept, rows, found, last = _in_turn(history, incoming, ref, wording, path, per_bucket)
+    return kept, [(rows.where(F.col("batch") == n).drop("batch"), found.where(F.col("batch") == n).drop("batch")) for n in range(1, last + 1)]
 
 
 def find_repeats(history: DataFrame, incoming: DataFrame, ref: DataFrame, wording: Wording = WORDING) -> DataFrame:
@@ -425,9 +455,7 @@ def find_repeats(history: DataFrame, incoming: DataFrame, ref: DataFrame, wordin
 
     Rows with null in any column take part (see points()); repeated row_ids count once; an empty side gives no rows.
     """
-    found = by_batch(history, incoming, ref, wording)[1]
-    none = incoming.sparkSession.createDataFrame([], "accepted_row_id long, incoming_row_id long")
-    return reduce(DataFrame.unionByName, [pairs for _, pairs in found], none)
+    return _in_turn(history, incoming, ref, wording)[2].drop("batch")
 
 
 def check_report(history: DataFrame, incoming: DataFrame, ref: DataFrame, wording: Wording = WORDING) -> DataFrame:
@@ -456,4 +484,4 @@ def in_one_pass(history: DataFrame, incoming: DataFrame, ref: DataFrame, wording
     stored, new = materialize(pivot_table(classes(old)), "stored"), materialize(pivot_table(classes(rows)), "classes")
     counts = word_counts(stored.select("title").unionByName(new.select("title")))
     kept = stored.withColumn("stored", F.lit(True)).unionByName(new.withColumn("stored", F.lit(False)))
-    return answered(rows, new, settle(materialize(links(asked(new, 1, employers), kept, wording, counts), "pairs")))
+    return answered(rows, new, settle(materialize(links(asked(probes(new, employers), 1), kept, wording, counts), "pairs")))

@@ -7,6 +7,7 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,13 +63,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str = "step") -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back.
+def materialize(df: DataFrame, label: str = "step", path: str | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Write df as Parquet into the shared folder (to path where given, in partitions by columns) and read it back.
 
     Used where a result is read more than once or recomputing it would run Python again. Unlike a cache it
     survives the loss of an executor, is columnar, and later reads prune columns and push filters into it.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = path or scratch_path(spark, label)
+    df.write.parquet(path, partitionBy=list(by) or None)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)

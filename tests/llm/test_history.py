@@ -123,3 +123,57 @@ def test_report(spark):
     incoming = rows(spark, *INCOMING[:3]).withColumn("identity", H.F.expr("CASE row_id WHEN 101 THEN 's:1' WHEN 103 THEN 's:2' END"))
     got = {(r["link"], r["accepted_row_id"], r["incoming_row_id"], r["same_identity"], r["accepted_first_seen"]) for r in H.check_report(rows(spark, *HISTORY), incoming, ref).collect()}
     assert got == {("opening", 1, 101, True, DAY), ("opening", 1, 102, False, DAY), ("identity", 2, 103, True, DAY)}
+
+
+def test_a_batch_is_few_jobs(spark, monkeypatch):
+    """What a batch leaves in the driver's memory goes with its jobs: of all that is written only links, cases and accepted classes are a batch's own."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    ref, write, done = spark.createDataFrame(REF, SCHEMA), DataFrameWriter.parquet, []
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *args, **kwargs: done.append(args) or write(self, *args, **kwargs))
+    counted = []
+    for size in (5, 2):  # two batches, five batches
+        incoming = rows(spark, *INCOMING).withColumn("batch_no", H.F.expr(f"int((row_id - 101) / {size})"))
+        done.clear()
+        assert pairs(H.find_repeats(rows(spark, *HISTORY), incoming, ref)) == EXPECTED
+        counted.append(len(done))
+    assert counted[1] - counted[0] == 3 * 3
+
+
+def test_waiting_batches_equal_one_at_a_time(spark, tmp_path):
+    """Counts and employers come from the batches before alone, and what is stored in the end is the same."""
+    from feedloom.session import materialize
+
+    ref = spark.createDataFrame(REF, SCHEMA)
+    history = [(i, name, f"h:{i}", "Content Planner", "Yaslobia") for i, name in enumerate(NAMES[:4], 1)] + [(11, None, "lever:acme1", "Query Writer", "Yaslobia"), (12, None, "n:1", "Editor", "Yaslobia")]
+    batches = [
+        [(101, "Cobalt", "y:1", "Cotent Planner", "Yaslobia"), (102, None, "n:1", "Editor", "Yaslobia"), (103, "Boardly", "n:2", "Editor", "Yaslobia")],  # the slip isn't known as one yet
+        [(201 + i, name, f"h:{i}", "Content Planner", "Yaslobia") for i, name in enumerate(NAMES[4:])] + [(211, "Boardly", "n:1", "Writer", "Yaslobia")],
+        [(301, "Dune", "y:1", "Cotent Planner", "Yaslobia"), (302, "Boardly", "n:2", "Editor", "Yaslobia"), (304, "Fjord", "z:1", "Content Planer", "Yaslobia")],
+    ]
+    points = [materialize(H.read_rows(rows(spark, *b), ref)) for b in batches]
+    old = materialize(H.read_rows(rows(spark, *history), ref))
+    one, all_ = (H.History.build(old, str(tmp_path / name), per_bucket=3) for name in ("one", "all"))
+    apart = [pairs(one.check(b)) for b in points]
+    whole = H.reduce(H.DataFrame.unionByName, [b.withColumn("batch", H.F.lit(n)) for n, b in enumerate(points, 1)])
+    together = pairs(all_.check_each(whole, len(points)))
+    assert together == {(n, *pair) for n, found in enumerate(apart, 1) for pair in found}
+    assert {(1, 12, 102), (3, 4, 301)} <= together and 101 not in {b for _, _, b in together}
+    assert one.batch == all_.batch == 3 and one.buckets > 1
+    assert pairs(one._read("pivots")) == pairs(all_._read("pivots")) and pairs(one._read("accepted")) == pairs(all_._read("accepted"))
+    total = lambda h: pairs(h._read("counts").groupBy("kind", "key", "value").agg(H.F.sum("n")))
+    assert total(one) == total(all_)
+    assert one.check(points[0].limit(0)).count() == 0 and pairs(one._read("accepted")) == pairs(all_._read("accepted"))
+
+
+def test_chains_are_settled_as_row_after_row(spark):
+    random.seed(5)
+    links = {(j, i, False) for j in range(200, 260) for i in random.sample(range(200, j), min(j - 200, random.choice((0, 1, 1, 2))))}
+    links |= {(j, j - 1, False) for j in range(301, 312)} | {(j, random.randint(1, 9), True) for j in random.sample(range(200, 260), 6)}
+    repeats = set()
+    for j in sorted({x[0] for x in links}):
+        if any(stored or target not in repeats for item, target, stored in links if item == j):
+            repeats.add(j)
+    got = dict(pairs(H.settle(spark.createDataFrame(sorted(links), "item long, target long, stored boolean"))))
+    assert set(got) == repeats and not repeats & set(got.values()) and all({(j, to, False), (j, to, True)} & links for j, to in got.items())
+    assert H.settle(spark.createDataFrame([], "item long, target long, stored boolean")).count() == 0
